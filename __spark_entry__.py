@@ -59,7 +59,7 @@ from clusterprep.sinks.tables import (  # noqa: E402
 from clusterprep.sources.files import read_jsonl, read_lines, read_parquet  # noqa: E402
 
 # Three well separated groups; some y are missing.
-BLOBS = ClusterParams(k=3, relative_error=0.0)
+BLOBS = ClusterParams(k=3, relative_error=0.0, target_rows=None)
 CENTERS = [[10.0, 20000.0], [40.0, 80000.0]]
 
 

@@ -11,5 +11,8 @@ WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
 
 
 def words(text: Column) -> Column:
-    """Array of the white-space separated words of a text; no empty words."""
-    return F.array_remove(F.split(text, WHITESPACE), "")
+    """Array of the white-space separated words of a text.
+
+    White space at either end of the text leaves an empty word there.
+    """
+    return F.split(text, WHITESPACE)

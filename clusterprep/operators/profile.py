@@ -3,20 +3,28 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from clusterprep.functions.columns import column, numeric_columns
 
+# Columns profiled together. Whole-stage codegen stops at 100 fields, so wide
+# tables are profiled in groups; each column is still read from the files once.
+_COLUMNS_TOGETHER = 64
+
 
 def table_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row per numeric column, from a single pass over the table.
+    """One row per numeric column, in a single job over the table.
 
     Columns: column_name, total_rows, non_null, fill_ratio, stddev, min_value,
     max_value, varies. NaN counts as present; the statistics are on raw rows.
-    The aggregate is global with map-side partials, so one row per task is
-    shuffled.
+    A table without rows has no profile rows.
+
+    Values are unpivoted to (column number, value) and combined before the
+    shuffle, so that each task sends one row per column, and the plan stays
+    small for any number of columns.
 
     A column with NaN or an infinity has a NaN deviation and does not vary, nor
     does one with fewer than two values. Comparing the extremes, and not the
@@ -25,34 +33,40 @@ def table_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     names = numeric_columns(df) if columns is None else list(columns)
     if not names:
         raise ValueError("no numeric columns in the input")
-    # The profile only ever needs the doubles the features become, so equal
-    # doubles (longs beyond 2**53) count as equal here as well.
-    values = [column(name).cast("double") for name in names]
-    statistics = [F.count(F.lit(1)).alias("total")]
-    for i, value in enumerate(values):
-        statistics += [
-            F.count(value).alias(f"n{i}"),
-            F.stddev_samp(value).alias(f"s{i}"),
-            F.min(value).alias(f"lo{i}"),
-            F.max(value).alias(f"hi{i}"),
-        ]
-    rows = [
-        F.struct(
-            F.lit(name).alias("column_name"),
-            F.col("total").alias("total_rows"),
-            F.col(f"n{i}").alias("non_null"),
-            F.try_divide(F.col(f"n{i}"), F.col("total")).alias("fill_ratio"),
-            F.col(f"s{i}").alias("stddev"),
-            F.col(f"lo{i}").alias("min_value"),
-            F.col(f"hi{i}").alias("max_value"),
-            F.coalesce(
-                ~F.isnan(f"s{i}") & F.col(f"s{i}").isNotNull() & (F.col(f"lo{i}") < F.col(f"hi{i}")),
-                F.lit(False),
-            ).alias("varies"),
-        )
-        for i, name in enumerate(names)
+    groups = [
+        names[i : i + _COLUMNS_TOGETHER] for i in range(0, len(names), _COLUMNS_TOGETHER)
     ]
-    return df.agg(*statistics).select(F.inline(F.array(*rows)))
+    return reduce(DataFrame.unionAll, [_profile_group(df, group) for group in groups])
+
+
+def _profile_group(df: DataFrame, names: list[str]) -> DataFrame:
+    # The profile needs only the doubles that features become, so equal doubles
+    # (longs beyond 2**53) count as equal here as well.
+    values = F.array(*[column(name).cast("double") for name in names])
+    statistics = (
+        df.select(F.posexplode(values).alias("number", "value"))
+        .groupBy("number")
+        .agg(
+            F.count(F.lit(1)).alias("total_rows"),
+            F.count("value").alias("non_null"),
+            F.stddev_samp("value").alias("stddev"),
+            F.min("value").alias("min_value"),
+            F.max("value").alias("max_value"),
+        )
+    )
+    return statistics.select(
+        F.element_at(F.lit(names), F.col("number") + 1).alias("column_name"),
+        "total_rows",
+        "non_null",
+        (F.col("non_null") / F.col("total_rows")).alias("fill_ratio"),
+        "stddev",
+        "min_value",
+        "max_value",
+        F.coalesce(
+            ~F.isnan("stddev") & F.col("stddev").isNotNull() & F.expr("min_value < max_value"),
+            F.lit(False),
+        ).alias("varies"),
+    )
 
 
 def filled_enough(profile: DataFrame, min_non_null_ratio: float) -> DataFrame:
@@ -65,27 +79,17 @@ def varying(profile: DataFrame) -> DataFrame:
     return profile.where("varies")
 
 
-def keep_filled_columns(
-    df: DataFrame, min_non_null_ratio: float, columns: Sequence[str] | None = None
+def choose_features(
+    profile: Sequence[Row], columns: Sequence[str], min_non_null_ratio: float
 ) -> list[str]:
-    """Names of the numeric columns that are filled enough."""
-    profile = filled_enough(table_profile(df, columns), min_non_null_ratio)
-    return [row.column_name for row in profile.collect()]
-
-
-def drop_constant_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[str]:
-    """Names of the numeric columns that vary."""
-    return [row.column_name for row in varying(table_profile(df, columns)).collect()]
-
-
-def choose_features(profile: Sequence[Row], min_non_null_ratio: float) -> list[str]:
-    """Both filters on collected profile rows (one per column), with clear errors."""
-    if not profile or profile[0].total_rows == 0:
+    """The usable ones of `columns`, given their collected profile rows (one per column)."""
+    by_name = {row.column_name: row for row in profile}
+    if not by_name:
         raise ValueError("the input table is empty")
-    filled = [row for row in profile if row.fill_ratio >= min_non_null_ratio]
+    filled = [name for name in columns if by_name[name].fill_ratio >= min_non_null_ratio]
     if not filled:
         raise ValueError("no numeric column has enough non-null values")
-    features = [row.column_name for row in filled if row.varies]
+    features = [name for name in filled if by_name[name].varies]
     if not features:
         raise ValueError("no numeric column varies")
     return features

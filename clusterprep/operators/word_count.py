@@ -17,6 +17,7 @@ def word_count(df: DataFrame, text_col: str = "value") -> DataFrame:
     """
     return (
         df.select(F.explode(words(column(text_col))).alias("word"))
+        .where(F.col("word") != "")
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("count"))
         .orderBy("word")

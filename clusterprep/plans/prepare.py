@@ -60,7 +60,7 @@ def prepare_training_data(
         raise ValueError("sampling must be 'exact' or 'bernoulli'")
     names = numeric_columns(df, exclude)
     profile = table_profile(df, names).collect()
-    features = choose_features(profile, min_non_null_ratio)
+    features = choose_features(profile, names, min_non_null_ratio)
     total = profile[0].total_rows
     rows = cast_features(df, features)
 
