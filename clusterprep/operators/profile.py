@@ -79,6 +79,21 @@ def varying(profile: DataFrame) -> DataFrame:
     return profile.where("varies")
 
 
+def keep_filled_columns(
+    df: DataFrame, min_non_null_ratio: float, columns: Sequence[str] | None = None
+) -> list[str]:
+    """Names of the numeric columns that are filled enough, in schema order."""
+    profile = filled_enough(table_profile(df, columns), min_non_null_ratio)
+    kept = {row.column_name for row in profile.collect()}
+    return [name for name in df.columns if name in kept]
+
+
+def drop_constant_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[str]:
+    """Names of the numeric columns that vary, in schema order."""
+    kept = {row.column_name for row in varying(table_profile(df, columns)).collect()}
+    return [name for name in df.columns if name in kept]
+
+
 def choose_features(
     profile: Sequence[Row], columns: Sequence[str], min_non_null_ratio: float
 ) -> list[str]:
