@@ -113,6 +113,8 @@ def stable_layout(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def nearest_center(columns: Sequence[str], centers: Sequence[Sequence[float]]) -> Column:
     """Index of the centre nearest to a row; the first one if several are.
 
+    Null for a row with a missing value: fill those first.
+
     The centres are part of the expression, so rows are neither joined nor
     shuffled.
     """
@@ -133,7 +135,7 @@ def nearest_center(columns: Sequence[str], centers: Sequence[Sequence[float]]) -
                 ]
             )
         )
-        return nearest["center"]
+        return F.when(nearest["distance"].isNotNull(), nearest["center"])
     points = F.lit([[float(x) for x in center] for center in centers])
     distances = F.transform(
         points,
@@ -146,7 +148,8 @@ def nearest_center(columns: Sequence[str], centers: Sequence[Sequence[float]]) -
             i.alias("center"),
         ),
     )
-    return F.array_min(distances)["center"]
+    nearest = F.array_min(distances)
+    return F.when(nearest["distance"].isNotNull(), nearest["center"])
 
 
 def assign_nearest(
