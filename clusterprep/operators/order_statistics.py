@@ -43,7 +43,7 @@ def kth_smallest(
     df: DataFrame,
     wanted: dict[str, int],
     sizes: dict[str, int],
-    direct_rows: int = 200_000,
+    direct_rows: int = 20_000,
     relative_error: float = 1e-3,
 ) -> dict[str, float]:
     """Exact k-th smallest value (from 1) of several numeric columns.
@@ -52,9 +52,10 @@ def kth_smallest(
     than `direct_rows` values are left, approximate quantiles bracket the
     position and one pass counts the values below, at and between the bracket
     ends: about 0.4% are left each time. Only then does an exact quantile, whose
-    summary holds every value, finish the at most `direct_rows` rest. All
-    columns advance together, so a round costs two passes for any number of
-    columns. A value that fills a third of the rows ends its search early.
+    summary holds every value, finish the at most `direct_rows` rest: about half
+    a megabyte per column. All columns advance together, so a round costs two
+    passes for any number of columns. A value that fills a third of the rows
+    ends its search early.
     """
     searches = {}
     for name, position in wanted.items():

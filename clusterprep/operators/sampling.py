@@ -51,7 +51,9 @@ def sample_lowest(
         found = candidates.count()
         if found >= n or share == 1.0:
             break
-        share = min(1.0, max(2 * share, 1.05 * share * wanted / max(found, 1)))
+        # Low estimate of what the bound holds: better some rows too many than one more pass.
+        surely = max(1.0, found - 2 * math.sqrt(found))
+        share = min(1.0, max(2 * share, share * wanted / surely))
     if found <= n:
         return candidates.drop(_RANK)
 
