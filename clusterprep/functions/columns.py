@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,6 +30,26 @@ def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
     ]
 
 
+# Columns unpivoted together. Whole-stage codegen stops at 100 fields, so wide
+# tables are unpivoted in groups; each column is still read from the files once.
+_COLUMNS_TOGETHER = 64
+
+
+def unpivoted(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows (number, value): each of the columns' values, as doubles, by column number.
+
+    Statistics of many columns grouped by `number` have a plan of fixed size,
+    where one aggregate expression per column would outgrow compiled code.
+    """
+    groups = []
+    for start in range(0, len(columns), _COLUMNS_TOGETHER):
+        names = columns[start : start + _COLUMNS_TOGETHER]
+        values = F.array(*[column(name).cast("double") for name in names])
+        rows = df.select(F.posexplode(values).alias("number", "value"))
+        groups.append(rows.withColumn("number", F.col("number") + start) if start else rows)
+    return reduce(DataFrame.unionAll, groups)
+
+
 def as_text(field: T.StructField) -> Column:
     """Text form of a column: null is '', nested values are JSON."""
     value = column(field.name)

@@ -7,36 +7,31 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clusterprep.functions.columns import column
+from clusterprep.functions.columns import column, unpivoted
 
 
 @dataclass
 class _Search:
     """The wanted value is the `want`-th of `size` values in the open interval (low, high)."""
 
-    value: Column
+    name: str
     want: int
     size: int
     low: float | None = None
     high: float | None = None
     found: float | None = None
 
-    def inside(self) -> Column:
-        condition = self.value.isNotNull() & ~F.isnan(self.value)
-        if self.low is not None:
-            condition &= self.value > self.low
-        if self.high is not None:
-            condition &= self.value < self.high
-        return F.when(condition, self.value)
-
 
 def count_values(df: DataFrame, columns: list[str]) -> dict[str, int]:
     """Number of values (neither null nor NaN) of each column, in one pass."""
-    values = [column(name).cast("double") for name in columns]
-    counts = df.agg(
-        *[F.count(F.when(~F.isnan(v), v)).alias(f"n{i}") for i, v in enumerate(values)]
-    ).first()
-    return {name: counts[i] for i, name in enumerate(columns)}
+    counts = (
+        unpivoted(df, columns)
+        .where(~F.isnan("value"))
+        .groupBy("number")
+        .agg(F.count("value").alias("size"))
+    )
+    sizes = {row["number"]: row["size"] for row in counts.collect()}
+    return {name: sizes.get(number, 0) for number, name in enumerate(columns)}
 
 
 def kth_smallest(
@@ -57,64 +52,81 @@ def kth_smallest(
     passes for any number of columns. A value that fills a third of the rows
     ends its search early.
     """
-    searches = {}
     for name, position in wanted.items():
         if not 1 <= position <= sizes[name]:
             raise ValueError(f"position {position} of column {name!r} is out of range")
-        searches[name] = _Search(column(name).cast("double"), position, sizes[name])
-
-    while True:
-        open_searches = [s for s in searches.values() if s.found is None]
-        large = [s for s in open_searches if s.size > direct_rows]
-        if not large:
-            break
+    searches = [_Search(name, position, sizes[name]) for name, position in wanted.items()]
+    while large := [s for s in searches if s.found is None and s.size > direct_rows]:
         _narrow(df, large, relative_error)
-    _finish(df, open_searches)
-    return {name: search.found for name, search in searches.items()}
+    _finish(df, [s for s in searches if s.found is None])
+    return {s.name: s.found for s in searches}
+
+
+def _inside(df: DataFrame, searches: list[_Search]) -> DataFrame:
+    """One column v0, v1, ... per search: its values in its interval, else null."""
+
+    def bounded(s: _Search) -> Column:
+        value = column(s.name).cast("double")
+        condition = ~F.isnan(value)
+        if s.low is not None:
+            condition &= value > s.low
+        if s.high is not None:
+            condition &= value < s.high
+        return F.when(condition, value)
+
+    return df.select([bounded(s).alias(f"v{i}") for i, s in enumerate(searches)])
 
 
 def _narrow(df: DataFrame, searches: list[_Search], relative_error: float) -> None:
-    values = df.select([s.inside().alias(f"v{i}") for i, s in enumerate(searches)])
-    names = values.columns
+    values = _inside(df, searches)
     shares = []
     for s in searches:
         middle = (s.want - 0.5) / s.size
         shares += [max(0.0, middle - 2 * relative_error), min(1.0, middle + 2 * relative_error)]
-    quantiles = values.approxQuantile(names, shares, relative_error)
-    ends = [(quantiles[i][2 * i], quantiles[i][2 * i + 1]) for i in range(len(searches))]
-    counts = values.agg(
-        *[
-            F.count(F.when(condition, name)).alias(f"{name}_{label}")
-            for name, (low, high) in zip(names, ends)
-            for label, condition in (
-                ("below", F.col(name) < low),
-                ("low", F.col(name) == low),
-                ("between", (F.col(name) > low) & (F.col(name) < high)),
-                ("high", (F.col(name) == high) & F.lit(low < high)),
-            )
-        ]
-    ).first()
-    for s, name, (low, high) in zip(searches, names, ends):
-        below, at_low, between, at_high = (
-            counts[f"{name}_{label}"] for label in ("below", "low", "between", "high")
+    quantiles = values.approxQuantile(values.columns, shares, relative_error)
+    lows = [quantiles[i][2 * i] for i in range(len(searches))]
+    highs = [quantiles[i][2 * i + 1] for i in range(len(searches))]
+
+    value = F.col("value")
+    low = F.element_at(F.lit(lows), F.col("number") + 1)
+    high = F.element_at(F.lit(highs), F.col("number") + 1)
+    counts = (
+        unpivoted(values, values.columns)
+        .where(value.isNotNull())
+        .groupBy("number")
+        .agg(
+            F.count_if(value < low).alias("below"),
+            F.count_if(value == low).alias("at_low"),
+            F.count_if((value > low) & (value < high)).alias("between"),
+            F.count_if((value == high) & (low < high)).alias("at_high"),
         )
-        if s.want <= below:
-            s.high, s.size = low, below
-        elif s.want <= below + at_low:
-            s.found = low
-        elif s.want <= below + at_low + between:
-            s.low, s.high, s.want, s.size = low, high, s.want - below - at_low, between
-        elif s.want <= below + at_low + between + at_high:
-            s.found = high
-        else:
-            passed = below + at_low + between + at_high
-            s.low, s.want, s.size = high, s.want - passed, s.size - passed
+    )
+    for row in counts.collect():  # one row per column
+        i = row["number"]
+        _move(searches[i], lows[i], highs[i], row)
+
+
+def _move(s: _Search, low: float, high: float, counts) -> None:
+    """Continue a search in the part of its interval that holds the wanted position."""
+    to_low = counts["below"] + counts["at_low"]
+    to_high = to_low + counts["between"]
+    past_high = to_high + counts["at_high"]
+    if s.want <= counts["below"]:
+        s.high, s.size = low, counts["below"]
+    elif s.want <= to_low:
+        s.found = low
+    elif s.want <= to_high:
+        s.low, s.high, s.want, s.size = low, high, s.want - to_low, counts["between"]
+    elif s.want <= past_high:
+        s.found = high
+    else:
+        s.low, s.want, s.size = high, s.want - past_high, s.size - past_high
 
 
 def _finish(df: DataFrame, searches: list[_Search]) -> None:
     if not searches:
         return
-    values = df.select([s.inside().alias(f"v{i}") for i, s in enumerate(searches)])
+    values = _inside(df, searches)
     shares = [(s.want - 0.5) / s.size for s in searches]
     quantiles = values.approxQuantile(values.columns, shares, 0.0)
     for i, s in enumerate(searches):

@@ -3,17 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from clusterprep.functions.columns import column, numeric_columns
-
-# Columns profiled together. Whole-stage codegen stops at 100 fields, so wide
-# tables are profiled in groups; each column is still read from the files once.
-_COLUMNS_TOGETHER = 64
-
+from clusterprep.functions.columns import numeric_columns, unpivoted
 
 def table_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per numeric column, in a single job over the table.
@@ -22,9 +16,8 @@ def table_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     max_value, varies. NaN counts as present; the statistics are on raw rows.
     A table without rows has no profile rows.
 
-    Values are unpivoted to (column number, value) and combined before the
-    shuffle, so that each task sends one row per column, and the plan stays
-    small for any number of columns.
+    Values are unpivoted and combined before the shuffle, so that each task
+    sends one row per column.
 
     A column with NaN or an infinity has a NaN deviation and does not vary, nor
     does one with fewer than two values. Comparing the extremes, and not the
@@ -33,18 +26,10 @@ def table_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     names = numeric_columns(df) if columns is None else list(columns)
     if not names:
         raise ValueError("no numeric columns in the input")
-    groups = [
-        names[i : i + _COLUMNS_TOGETHER] for i in range(0, len(names), _COLUMNS_TOGETHER)
-    ]
-    return reduce(DataFrame.unionAll, [_profile_group(df, group) for group in groups])
-
-
-def _profile_group(df: DataFrame, names: list[str]) -> DataFrame:
     # The profile needs only the doubles that features become, so equal doubles
     # (longs beyond 2**53) count as equal here as well.
-    values = F.array(*[column(name).cast("double") for name in names])
     statistics = (
-        df.select(F.posexplode(values).alias("number", "value"))
+        unpivoted(df, names)
         .groupBy("number")
         .agg(
             F.count(F.lit(1)).alias("total_rows"),
