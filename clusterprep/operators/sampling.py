@@ -98,7 +98,7 @@ def first_rows(df: DataFrame, n: int) -> DataFrame:
             rows = some.groupBy(path.alias("path")).agg(F.count(F.lit(1)).alias("rows")).collect()
         except AnalysisException:  # not a plain scan: its rows cannot be told by file
             break
-        if sum(row.rows for row in rows) > n:
+        if sum(row.rows for row in rows) >= n:
             return _cut_files(df, {row.path: row.rows for row in rows}, n)
         if tried >= len(files):
             return df

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,7 +45,7 @@ class ClusterParams:
 
 @dataclass(frozen=True)
 class ClusterResult:
-    """Feature rows with `prediction`, the metrics table, the model and its input."""
+    """Feature rows with `prediction`, the metrics table, the model and its (written) input."""
 
     predictions: DataFrame
     metrics: DataFrame
@@ -90,7 +90,7 @@ def cluster_prepared(prepared: PreparedData, params: ClusterParams) -> ClusterRe
     )
     predictions = scored.select(*[column(c) for c in prepared.feature_cols], PREDICTION)
     metrics = metrics_table(rows.sparkSession, {params.metric_name: score})
-    return ClusterResult(predictions, metrics, score, model, prepared)
+    return ClusterResult(predictions, metrics, score, model, replace(prepared, df=rows))
 
 
 def cluster_table(df: DataFrame, params: ClusterParams = ClusterParams()) -> ClusterResult:

@@ -71,5 +71,6 @@ def prepare_training_data(
         sample = sample_lowest(rows, target_rows, by, total, distinct=True)
     else:
         distinct = cut_lineage(distinct_rows(rows), "distinct")
-        sample = sample_bernoulli(distinct, target_rows, seed)
+        # Which rows a capped draw keeps may change when it is computed again.
+        sample = cut_lineage(sample_bernoulli(distinct, target_rows, seed), "sample")
     return PreparedData(sample, tuple(features), total)

@@ -64,7 +64,8 @@ class JdbcTarget:
     """Tables of a database reached over JDBC; `properties` hold driver and login.
 
     `connections` bounds how many tasks write at the same time. `text_width`
-    gives text columns a fixed width; otherwise the database's default is used.
+    gives text columns a fixed width (`TEXT_WIDTH` is the usual one); otherwise
+    the database's default is used.
     """
 
     url: str
