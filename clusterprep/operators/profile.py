@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from clusterprep.functions.columns import numeric_columns, unpivoted
+from clusterprep.functions.columns import column, numeric_columns, unpivoted
+
+# Up to so many columns have one aggregate expression per statistic, which is the
+# faster form while its compiled code is small; more columns are unpivoted.
+_FLAT_COLUMNS = 16
+
 
 def table_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row per numeric column, in a single job over the table.
@@ -16,8 +21,7 @@ def table_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     max_value, varies. NaN counts as present; the statistics are on raw rows.
     A table without rows has no profile rows.
 
-    Values are unpivoted and combined before the shuffle, so that each task
-    sends one row per column.
+    Each task sends its partial statistics only: one row, or one per column.
 
     A column with NaN or an infinity has a NaN deviation and does not vary, nor
     does one with fewer than two values. Comparing the extremes, and not the
@@ -26,19 +30,8 @@ def table_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     names = numeric_columns(df) if columns is None else list(columns)
     if not names:
         raise ValueError("no numeric columns in the input")
-    # The profile needs only the doubles that features become, so equal doubles
-    # (longs beyond 2**53) count as equal here as well.
-    statistics = (
-        unpivoted(df, names)
-        .groupBy("number")
-        .agg(
-            F.count(F.lit(1)).alias("total_rows"),
-            F.count("value").alias("non_null"),
-            F.stddev_samp("value").alias("stddev"),
-            F.min("value").alias("min_value"),
-            F.max("value").alias("max_value"),
-        )
-    )
+    few = len(names) <= _FLAT_COLUMNS
+    statistics = _flat_statistics(df, names) if few else _grouped_statistics(df, names)
     return statistics.select(
         F.element_at(F.lit(names), F.col("number") + 1).alias("column_name"),
         "total_rows",
@@ -54,6 +47,43 @@ def table_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     )
 
 
+def _statistics(value: Column) -> dict[str, Column]:
+    return {
+        "non_null": F.count(value),
+        "stddev": F.stddev_samp(value),
+        "min_value": F.min(value),
+        "max_value": F.max(value),
+    }
+
+
+# Both forms work on the doubles that features become, so equal doubles (longs
+# beyond 2**53) count as equal here as well.
+
+
+def _flat_statistics(df: DataFrame, names: list[str]) -> DataFrame:
+    totals = [F.count(F.lit(1)).alias("total_rows")]
+    lists = {}
+    for i, name in enumerate(names):
+        for label, statistic in _statistics(column(name).cast("double")).items():
+            totals.append(statistic.alias(f"{label}{i}"))
+            lists.setdefault(label, []).append(F.col(f"{label}{i}"))
+    numbers = F.lit(list(range(len(names)))).alias("number")
+    rows = F.arrays_zip(numbers, *[F.array(*v).alias(label) for label, v in lists.items()])
+    return df.agg(*totals).where("total_rows > 0").select("total_rows", F.inline(rows))
+
+
+def _grouped_statistics(df: DataFrame, names: list[str]) -> DataFrame:
+    statistics = _statistics(F.col("value"))
+    return (
+        unpivoted(df, names)
+        .groupBy("number")
+        .agg(
+            F.count(F.lit(1)).alias("total_rows"),
+            *[statistic.alias(label) for label, statistic in statistics.items()],
+        )
+    )
+
+
 def filled_enough(profile: DataFrame, min_non_null_ratio: float) -> DataFrame:
     """Profile rows of the columns whose share of non-null rows is enough (inclusive)."""
     return profile.where(F.col("fill_ratio") >= min_non_null_ratio)

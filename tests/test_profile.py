@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clusterprep.functions.columns import numeric_columns
+from clusterprep.operators import profile
 from clusterprep.operators.profile import (
     drop_constant_columns,
     keep_filled_columns,
@@ -88,6 +89,20 @@ def test_wide_table_is_one_row_per_column(spark):
     assert rows["c149"].max_value == 149 * 99.0 and not rows["c0"].varies
 
 
+def test_both_forms_agree(spark, monkeypatch):
+    df = spark.createDataFrame(
+        [(1.0, None, 5, math.nan), (2.5, None, 5, 1.0), (None, None, 5, 2.0)],
+        "a double, `b.c` double, i int, n double",
+    )
+    forms = []
+    for columns_in_flat_form in (0, 16):
+        monkeypatch.setattr(profile, "_FLAT_COLUMNS", columns_in_flat_form)
+        rows = table_profile(df).collect()
+        forms.append(({str(row) for row in rows}, table_profile(df).dtypes))
+        assert table_profile(df.limit(0)).count() == 0
+    assert forms[0] == forms[1] and len(forms[0][0]) == 4
+
+
 def test_layout_does_not_matter(spark):
     df = spark.range(0, 1000, 1, 1).select((F.col("id") % 7).alias("a"))
     one, many = (table_profile(d).first() for d in (df, df.repartition(13)))
