@@ -7,6 +7,8 @@ sides use the same expressions.
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -387,7 +389,19 @@ def word_count_lines(spark, sf_dir):
     return word_count(text_scan_lines(spark, sf_dir))
 
 
+def _training_data():
+    """Queries of the training-data operators, where that subpackage is present."""
+    if importlib.util.find_spec("clusterprep.llm") is None:
+        return None
+    return importlib.import_module("clusterprep.llm.queries")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    more = _training_data()
+    return table_queries() | (more.queries() if more else {})
+
+
+def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "scan_parquet": scan_parquet,
         "jsonl_roundtrip": jsonl_roundtrip,
@@ -532,6 +546,11 @@ def _word_count_sql(table: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    more = _training_data()
+    return table_oracle_sql() | (more.oracle_sql() if more else {})
+
+
+def table_oracle_sql() -> dict[str, str]:
     blob_score = f"round({_silhouette_sql(_BLOB_POINTS)}, 6)"
     return {
         "scan_parquet": "SELECT * FROM orders",

@@ -14,12 +14,12 @@ def duck():
 
 
 def test_every_query_has_an_equivalent():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(driver.table_queries()) == set(driver.table_oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(driver.table_queries()))
 def test_query(spark, duck, name):
-    assert difference(driver.queries()[name](spark, SF_DIR), duck, driver.oracle_sql()[name]) is None
+    assert difference(driver.table_queries()[name](spark, SF_DIR), duck, driver.table_oracle_sql()[name]) is None
 
 
 def test_entry(spark):
