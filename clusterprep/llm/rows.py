@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable, Iterator
+from pathlib import Path
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clusterprep.functions.columns import column
 from clusterprep.session import cut_lineage
@@ -50,3 +56,21 @@ def picked(docs: DataFrame, **columns: str) -> DataFrame:
     return docs.select(*[column(old).alias(new) for new, old in columns.items()])
 
 
+
+
+def map_arrow(
+    df: DataFrame,
+    run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: T.StructType | str,
+) -> DataFrame:
+    """`mapInArrow`, with this library on the Python path of the workers.
+
+    That helps where workers see the same folders as the driver; elsewhere the
+    library has to be sent with `--py-files`.
+    """
+    environment = df.sparkSession.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    here = str(Path(__file__).resolve().parents[2])
+    if here not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([here, *paths])
+    return df.mapInArrow(run, schema)
