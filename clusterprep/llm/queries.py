@@ -7,13 +7,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clusterprep.llm import exact_dedup, pii
+from clusterprep.llm import exact_dedup, language_id, pii, quality
+from clusterprep.llm.rows import in_held_out
+
+
+GOOD = 0.7  # least score of a good document
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _learned_from(rows: DataFrame) -> DataFrame:
+    """Rows that models may learn from: those with an id that is not held out."""
+    return rows.filter(F.col("doc_id").isNotNull() & ~in_held_out(F.col("doc_id")))
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.QualityModel:
+    return quality.fit_quality_model(docs, _learned_from(labels))
+
+
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality_model(docs, _table(spark, sf_dir, "labels"))
+    return quality.score_quality(docs, model).select(
+        "doc_id",
+        in_held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= GOOD).cast("int").alias("predicted"),
+    )
+
+
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(_table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"].isin(*pii.BASE_KINDS))
@@ -39,10 +63,20 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(_table(spark, sf_dir, "documents")).drop("row")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.fit_language_model(_learned_from(docs))
+    return language_id.identify_language(docs, model).select(
+        "doc_id", in_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality": op1_quality,
         "op2_personal_data": op2_personal_data,
         "op7_exact_dedup": op7_exact_dedup,
+        "op9_language_id": op9_language_id,
     }
 
 
