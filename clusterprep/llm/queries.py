@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clusterprep.llm import exact_dedup, language_id, pii, quality
+from clusterprep.llm import exact_dedup, language_id, pii, quality, winnowing
 from clusterprep.llm.rows import in_held_out
 
 
@@ -59,6 +59,30 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnowing.shared_runs(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+    start = F.struct(F.lit(0).cast("long").alias("end"), F.lit(0).cast("long").alias("hit"))
+
+    def add(total, run):
+        new = run["end"] - F.greatest(total["end"], run["first"])
+        return F.struct(
+            F.greatest(total["end"], run["end"]).alias("end"),
+            (total["hit"] + F.greatest(new, F.lit(0))).alias("hit"),
+        )
+
+    items = F.array_sort(F.array_distinct(F.transform("runs", lambda r: r["item_id"])))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.aggregate(F.array_sort("runs"), start, add)["hit"].alias("n_hit"),
+        F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        (F.size("runs") > 0).alias("contaminated"),
+    )
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(_table(spark, sf_dir, "documents")).drop("row")
 
@@ -75,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
         "op2_personal_data": op2_personal_data,
+        "op5_decontaminate": op5_decontaminate,
         "op7_exact_dedup": op7_exact_dedup,
         "op9_language_id": op9_language_id,
     }
@@ -82,6 +107,38 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op5_decontaminate": """
+            WITH d AS (
+              SELECT doc_id, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+            i AS (
+              SELECT item_id, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+            sizes AS (SELECT DISTINCT least(len(w), 10) AS n FROM i WHERE len(w) > 0),
+            iw AS (
+              SELECT DISTINCT item_id, n, list_slice(w, p, p + n - 1) AS g
+              FROM (SELECT item_id, w, least(len(w), 10) AS n,
+                           unnest(range(1, len(w) - least(len(w), 10) + 2)) AS p
+                    FROM i WHERE len(w) > 0)),
+            dw AS (
+              SELECT doc_id, n, p, list_slice(w, p, p + n - 1) AS g
+              FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p
+                    FROM d CROSS JOIN sizes WHERE len(w) >= n)),
+            m AS (SELECT doc_id, n, p, item_id FROM dw JOIN iw USING (n, g)),
+            hit AS (
+              SELECT doc_id, count(DISTINCT h) AS n_hit
+              FROM (SELECT doc_id, unnest(range(p, p + n)) AS h FROM m) GROUP BY doc_id),
+            found AS (
+              SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS items
+              FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM m) GROUP BY doc_id)
+            SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit,
+                   coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+                   n_hit IS NOT NULL AS contaminated
+            FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)""",
         "op7_exact_dedup": """
             WITH t AS (
               SELECT doc_id, length(coalesce(text, '')) AS chars,
