@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clusterprep.llm import exact_dedup, language_id, pii, quality, winnowing
+from clusterprep.llm import exact_dedup, grouping, language_id, pii, quality, winnowing
 from clusterprep.llm.rows import in_held_out
+from clusterprep.llm.tokens import default_path
 
 
+WORDS = "word_bpe_49k.json"  # vocabulary file of the packing query
 GOOD = 0.7  # least score of a good document
 
 
@@ -87,6 +89,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(_table(spark, sf_dir, "documents")).drop("row")
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grouping.pack_documents(_table(spark, sf_dir, "documents"), default_path(WORDS))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = language_id.fit_language_model(_learned_from(docs))
@@ -101,6 +107,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_personal_data": op2_personal_data,
         "op5_decontaminate": op5_decontaminate,
         "op7_exact_dedup": op7_exact_dedup,
+        "op8_best_fit_packing": op8_best_fit_packing,
         "op9_language_id": op9_language_id,
     }
 
