@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clusterprep.llm import exact_dedup, grouping, language_id, pii, quality, winnowing
+from clusterprep.llm import exact_dedup, grouping, language_id, packing, pii, quality, winnowing
 from clusterprep.llm.rows import in_held_out
 from clusterprep.llm.tokens import default_path
 
 
 WORDS = "word_bpe_49k.json"  # vocabulary file of the packing query
+RANKS = "byte_bpe_50k.tiktoken"  # vocabulary file of the id matrices
 GOOD = 0.7  # least score of a good document
 
 
@@ -61,6 +62,10 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), default_path(RANKS))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnowing.shared_runs(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
@@ -105,6 +110,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
         "op2_personal_data": op2_personal_data,
+        "op3_token_packing": op3_token_packing,
         "op5_decontaminate": op5_decontaminate,
         "op7_exact_dedup": op7_exact_dedup,
         "op8_best_fit_packing": op8_best_fit_packing,
