@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clusterprep.llm import exact_dedup, grouping, language_id, packing, pii, quality, winnowing
+from clusterprep.llm import (
+    exact_dedup,
+    grouping,
+    language_id,
+    order_minhash,
+    packing,
+    pii,
+    quality,
+    winnowing,
+)
 from clusterprep.llm.rows import in_held_out
 from clusterprep.llm.tokens import default_path
 
@@ -66,6 +75,10 @@ def op3_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), default_path(RANKS))
 
 
+def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_classes(_table(spark, sf_dir, "documents")).drop("row")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = winnowing.shared_runs(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
@@ -111,6 +124,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality": op1_quality,
         "op2_personal_data": op2_personal_data,
         "op3_token_packing": op3_token_packing,
+        "op4_order_minhash": op4_order_minhash,
         "op5_decontaminate": op5_decontaminate,
         "op7_exact_dedup": op7_exact_dedup,
         "op8_best_fit_packing": op8_best_fit_packing,
