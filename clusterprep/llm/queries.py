@@ -119,6 +119,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # imports this module
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality": op1_quality,
@@ -129,6 +135,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_exact_dedup": op7_exact_dedup,
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_language_id": op9_language_id,
+        "pipeline": pipeline,
     }
 
 
