@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clusterprep.llm import (
+    bwt_dedup,
     exact_dedup,
     grouping,
     language_id,
@@ -119,6 +120,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt_dedup.remove_repeats(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # imports this module
 
@@ -135,6 +140,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_exact_dedup": op7_exact_dedup,
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_language_id": op9_language_id,
+        "op10_suffix_dedup": op10_suffix_dedup,
         "pipeline": pipeline,
     }
 
