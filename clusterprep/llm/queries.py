@@ -12,6 +12,7 @@ from clusterprep.llm import (
     exact_dedup,
     grouping,
     language_id,
+    line_dedup,
     order_minhash,
     packing,
     pii,
@@ -104,6 +105,11 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.repeated_lines(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(_table(spark, sf_dir, "documents")).drop("row")
 
@@ -137,6 +143,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_token_packing": op3_token_packing,
         "op4_order_minhash": op4_order_minhash,
         "op5_decontaminate": op5_decontaminate,
+        "op6_line_dedup": op6_line_dedup,
         "op7_exact_dedup": op7_exact_dedup,
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_language_id": op9_language_id,
