@@ -50,11 +50,30 @@ def unpivoted(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return reduce(DataFrame.unionAll, groups)
 
 
+def plain_number(value: Column) -> Column:
+    """Text of a float in plain decimal notation, also where a cast gives 1.0E7."""
+    text = value.cast("string")
+    parts = F.split(text, "E")
+    sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
+    digits = F.regexp_replace(F.regexp_replace(parts[0], "[-.]", ""), "(?<=.)0+$", "")
+    power = F.try_element_at(parts, F.lit(2)).cast("int")
+    # The mantissa has one digit before its point.
+    behind = F.length(digits) - 1 - power  # digits behind the point
+    large = F.when(
+        behind > 0, F.concat(F.substring(digits, F.lit(1), power + 1), F.lit("."), F.right(digits, behind))
+    ).otherwise(F.concat(digits, F.repeat(F.lit("0"), -behind), F.lit(".0")))
+    tiny = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    plain = F.concat(sign, F.when(power < 0, tiny).otherwise(large))
+    return F.when(power.isNull(), text).otherwise(plain)
+
+
 def as_text(field: T.StructField) -> Column:
-    """Text form of a column: null is '', nested values are JSON."""
+    """Text form of a column: null is '', floats are plain decimals, nested values JSON."""
     value = column(field.name)
     if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
         value = F.to_json(value)
+    elif isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+        value = plain_number(value)
     return F.coalesce(value.cast("string"), F.lit("")).alias(field.name)
 
 
@@ -75,8 +94,16 @@ def md5_rank(columns: Sequence[str], seed: int, null_marker: str = "~") -> Colum
     """Rank like `row_rank` that other SQL engines can compute as well.
 
     Slower (text and md5 instead of one 64-bit hash): use it where a sample
-    has to be reproduced outside Spark. 52 bits are taken from the md5.
+    has to be reproduced outside Spark. 0.0 and -0.0 rank alike, as they are
+    equal to a distinct. 52 bits are taken from the md5.
     """
-    texts = [F.coalesce(column(name).cast("string"), F.lit(null_marker)) for name in columns]
+    texts = [F.coalesce(_unsigned_zero(name), F.lit(null_marker)) for name in columns]
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *texts))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
+
+
+def _unsigned_zero(name: str) -> Column:
+    """Text of a column's values, in which a float's -0.0 is 0.0."""
+    text = column(name).cast("string")
+    is_float = F.typeof(column(name)).isin("float", "double")
+    return F.when(is_float & (text == "-0.0"), F.lit("0.0")).otherwise(text)

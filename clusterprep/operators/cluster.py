@@ -10,6 +10,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clusterprep.functions.columns import column
 from clusterprep.operators.impute import (
@@ -102,23 +103,29 @@ def stable_layout(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Partition and order *distinct* rows by their values.
 
     K-means picks its first centres partition by partition, so a fixed seed
-    alone does not fix its result; this does, for any layout of the input.
-    Distinct rows hash evenly; do not use it on rows with many copies.
+    alone does not fix its result; this does, for any layout of the input and
+    the same number of shuffle partitions. Distinct rows hash evenly; do not use
+    it on rows with many copies.
+
+    The rows go by a hash of their values, not by the values: a distinct before
+    this is partitioned by those, and Spark would leave out this shuffle and
+    merge the partitions of that one by their size.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by = [column(name) for name in columns]
-    return df.repartition(n, *by).sortWithinPartitions(*by)
+    return df.repartition(n, F.xxhash64(*by)).sortWithinPartitions(*by)
 
 
 def nearest_center(columns: Sequence[str], centers: Sequence[Sequence[float]]) -> Column:
     """Index of the centre nearest to a row; the first one if several are.
 
-    Null for a row with a missing value: fill those first.
+    Null for a row with a missing value (null or NaN): fill those first.
 
     The centres are part of the expression, so rows are neither joined nor
     shuffled.
     """
-    values = [column(name).cast("double") for name in columns]
+    doubles = [column(name).cast("double") for name in columns]
+    values = [F.nanvl(value, F.lit(None).cast("double")) for value in doubles]
     if len(centers) * len(columns) <= _FLAT_COORDINATES:
         distances = [
             sum(
@@ -159,21 +166,47 @@ def assign_nearest(
     return df.withColumn(PREDICTION, nearest_center(columns, centers))
 
 
+_SIZE = "__size"
+
+
+def _mean(i: int) -> str:
+    return f"__mean{i}"
+
+
+def _given(i: int) -> str:
+    return f"__given{i}"
+
+
 def centroid_update(
     df: DataFrame, columns: Sequence[str], centers: Sequence[Sequence[float]]
 ) -> DataFrame:
     """One k-means step: size and mean of the rows nearest to each given centre.
 
-    At most one row per centre and task is shuffled, however uneven they are.
+    One row per centre; a centre without rows has size 0 and stays where it is.
+    Rows with a missing value count for none. At most one row per centre and
+    task is shuffled, however uneven they are.
     """
-    return (
+    means = (
         assign_nearest(df, columns, centers)
+        .where(F.col(PREDICTION).isNotNull())
         .groupBy(PREDICTION)
         .agg(
-            F.count(F.lit(1)).alias("size"),
-            *[F.avg(column(name).cast("double")).alias(name) for name in columns],
+            F.count(F.lit(1)).alias(_SIZE),
+            *[F.avg(column(name).cast("double")).alias(_mean(i)) for i, name in enumerate(columns)],
         )
     )
+    given = df.sparkSession.createDataFrame(
+        [(i, *map(float, center)) for i, center in enumerate(centers)],
+        T.StructType(
+            [T.StructField(PREDICTION, T.IntegerType(), False)]
+            + [T.StructField(_given(i), T.DoubleType()) for i in range(len(columns))]
+        ),
+    )
+    return given.join(F.broadcast(means), PREDICTION, "left").select(
+        PREDICTION,
+        F.coalesce(_SIZE, F.lit(0)).cast("long").alias("size"),
+        *[F.coalesce(_mean(i), _given(i)).alias(name) for i, name in enumerate(columns)],
+    )
 
 
 def _safe_names(columns: Sequence[str]) -> list[str]:

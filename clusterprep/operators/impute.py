@@ -45,7 +45,7 @@ def imputer_stage(
     middles = {name: (size + 1) // 2 for name, size in sizes.items()}
     medians = kth_smallest(df, middles, sizes)
     filled = ", ".join(
-        f"coalesce(nanvl({quoted(name)}, NULL), {median!r}D) AS {quoted(name + SUFFIX)}"
+        f"coalesce(nanvl({quoted(name)}, NULL), double('{median!r}')) AS {quoted(name + SUFFIX)}"
         for name, median in medians.items()
     )
     return SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")

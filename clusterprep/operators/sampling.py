@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import math
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clusterprep.functions.columns import column
+from clusterprep.functions.columns import column, row_rank
 from clusterprep.operators.order_statistics import kth_smallest
 from clusterprep.session import cut_lineage
 
 _RANK = "__rank"
+_NUMBER = "__number"
+_COUNT = "__count"
+_RUNNING = "__running"
 
 
 def sample_fraction(df: DataFrame, fraction: float, rank: Column) -> DataFrame:
@@ -26,8 +28,9 @@ def sample_lowest(
     """The n rows of lowest rank, or all rows if there are no more than n.
 
     With `distinct`, repeated rows count once (`rank` must then be a function
-    of the row's values). Ties are settled by the column values, so the result
-    depends on the data and not on its layout.
+    of the row's values). Of rows with the rank at the cut any are taken: with
+    `row_rank` these are copies of one row, so that the result depends on the
+    data and not on its layout.
 
     Ranks are uniform over distinct rows, so the n lowest lie below about n/N.
     Only rows below such a bound, a little above n of them, are shuffled and
@@ -64,55 +67,86 @@ def sample_lowest(
     ).first()
     if counts["below"] + counts["at"] == n:
         return candidates.where(F.col(_RANK) <= cut).drop(_RANK)
-    order = [column(name) for name in df.columns]
-    tied = candidates.where(F.col(_RANK) == cut).orderBy(*order).limit(n - counts["below"])
-    return candidates.where(F.col(_RANK) < cut).unionByName(tied).drop(_RANK)
+    tied = _first_in_order(candidates.where(F.col(_RANK) == cut).drop(_RANK), n - counts["below"])
+    return candidates.where(F.col(_RANK) < cut).drop(_RANK).unionByName(tied)
+
+
+def _first_in_order(df: DataFrame, n: int) -> DataFrame:
+    """The n first rows (of more than n) in the order of their values.
+
+    Copies are counted, and the different rows sorted with their counts, to
+    find the row at the cut; the result is a filter, plus some of that row's
+    copies. So no task sees all copies of a row.
+    """
+    values = [column(name) for name in df.columns]
+    counted = df.groupBy(*values).agg(F.count(F.lit(1)).alias(_COUNT)).orderBy(*values)
+    counted = cut_lineage(counted.withColumn(_NUMBER, F.monotonically_increasing_id()), "tied")
+    # The upper bits of the numbers are the partition: sorted ranges, in order.
+    part = F.shiftright(F.col(_NUMBER), 33)
+    parts = counted.groupBy(part.alias("part")).agg(F.sum(_COUNT).alias("rows")).orderBy("part")
+    left = n
+    for row in parts.collect():  # one row per partition
+        if row["rows"] >= left:
+            break
+        left -= row["rows"]
+    running = F.sum(_COUNT).over(Window.partitionBy(part).orderBy(_NUMBER))
+    last = (
+        counted.where(part == row["part"])
+        .withColumn(_RUNNING, running)
+        .where(F.col(_RUNNING) >= left)
+        .orderBy(_NUMBER)
+        .first()
+    )
+    border = F.struct(
+        *[F.lit(last[f.name]).cast(f.dataType).alias(f.name) for f in df.schema.fields]
+    )
+    own = F.struct(*values)
+    copies = left - (last[_RUNNING] - last[_COUNT])
+    return df.where(own < border).unionByName(_any_rows(df.where(own == border), copies))
+
+
+def _any_rows(df: DataFrame, n: int) -> DataFrame:
+    """n of the rows, from the first partitions of their written form.
+
+    One count per partition reaches the driver; the cut is a filter, so no task
+    sees more than its own rows.
+    """
+    numbered = cut_lineage(df.withColumn(_NUMBER, F.monotonically_increasing_id()), "tied")
+    number = F.col(_NUMBER)
+    # The upper bits are the partition, the lower 33 count its rows from 0.
+    part = F.shiftright(number, 33)
+    counts = numbered.groupBy(part.alias("part")).count().orderBy("part").collect()
+    last, left = -1, n
+    for row in counts:
+        if row["count"] > left:
+            last = row["part"]
+            break
+        left -= row["count"]
+    else:
+        return numbered.drop(_NUMBER)
+    cut = (last << 33) + left
+    return numbered.where(number < F.lit(cut)).drop(_NUMBER)
 
 
 def sample_bernoulli(df: DataFrame, n: int, seed: int, total_rows: int | None = None) -> DataFrame:
-    """Independent draws at rate n/rows, then at most n of them.
+    """Independent draws at rate n/rows, then at most n of them, those of lowest hash rank.
 
-    Gives up to n rows, often fewer, and another sample for another layout.
-    Use `sample_lowest` for an exact and repeatable one.
+    Gives up to n rows, often fewer, and another sample for another layout, so
+    the draw is written to the shared folder. Use `sample_lowest` for an exact
+    and repeatable one.
     """
     total = df.count() if total_rows is None else total_rows
     if total <= n:
         return df
-    return df.sample(False, n / total, seed).limit(n)
+    drawn = cut_lineage(df.sample(False, n / total, seed), "drawn")
+    return sample_lowest(drawn, n, row_rank(df.columns, seed + 1))
 
 
 def first_rows(df: DataFrame, n: int) -> DataFrame:
-    """Any n rows (all, if there are fewer) of a file scan, read from as few files as needed.
+    """Any n rows (all, if there are fewer): Spark's limit.
 
-    A plain limit takes up to n rows from *every* input split and shuffles
-    them to one task. Here whole files are taken, without a shuffle, and the
-    limit only cuts the one file at the boundary. Counting rows per file reads
-    footers, of 1, 8, 64, ... files until there are enough.
+    It first runs as few tasks as may do and at most n rows of each go to the
+    one task that cuts them. Meant for small copies: for a large share of a
+    table use `sample_fraction`, which shuffles nothing.
     """
-    path = F.col("_metadata.file_path")
-    files = sorted(df.inputFiles())
-    tried = 1
-    while files:
-        some = df.where(path.isin(files[:tried])) if tried < len(files) else df
-        try:
-            rows = some.groupBy(path.alias("path")).agg(F.count(F.lit(1)).alias("rows")).collect()
-        except AnalysisException:  # not a plain scan: its rows cannot be told by file
-            break
-        if sum(row.rows for row in rows) >= n:
-            return _cut_files(df, {row.path: row.rows for row in rows}, n)
-        if tried >= len(files):
-            return df
-        tried *= 8
     return df.limit(n)
-
-
-def _cut_files(df: DataFrame, rows_by_file: dict[str, int], n: int) -> DataFrame:
-    path = F.col("_metadata.file_path")
-    whole, left = [], n
-    for file, rows in sorted(rows_by_file.items()):
-        if rows > left:
-            break
-        whole.append(file)
-        left -= rows
-    rest = df.where(path == file).limit(left)
-    return df.where(path.isin(whole)).unionByName(rest) if whole else rest

@@ -18,11 +18,10 @@ from clusterprep.operators.impute import RELATIVE_ERROR
 from clusterprep.plans.prepare import (
     MIN_NON_NULL_RATIO,
     SEED,
-    TARGET_ROWS,
     PreparedData,
     prepare_training_data,
 )
-from clusterprep.session import cut_lineage
+from clusterprep.session import checkpointed
 from clusterprep.sinks.tables import Target, save_results
 from clusterprep.sources.files import read_parquet
 
@@ -32,7 +31,7 @@ class ClusterParams:
     """Parameters of a job; `seed` serves the sample and k-means."""
 
     min_non_null_ratio: float = MIN_NON_NULL_RATIO
-    target_rows: int | None = TARGET_ROWS
+    target_rows: int | None = None
     seed: int = SEED
     sampling: str = "exact"
     exclude: tuple[str, ...] = ()
@@ -70,10 +69,12 @@ def cluster_prepared(prepared: PreparedData, params: ClusterParams) -> ClusterRe
     """Fit, predict and score prepared rows.
 
     The rows are laid out by value, so that the result does not depend on the
-    input's files, and written to the shared folder once: the fit and the score
-    pass over them many times.
+    input's files, and kept as a checkpoint in the shared folder: the fit and
+    the score pass over them many times, and a checkpoint gives every pass the
+    same partitions in the same order, where a written table would be packed
+    into partitions by file size.
     """
-    rows = cut_lineage(stable_layout(prepared.df, prepared.feature_cols), "prepared")
+    rows = checkpointed(stable_layout(prepared.df, prepared.feature_cols))
     model = fit_clusters(
         rows,
         prepared.feature_cols,

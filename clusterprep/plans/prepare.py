@@ -16,7 +16,6 @@ from clusterprep.session import cut_lineage
 
 # Defaults of a preparation request.
 MIN_NON_NULL_RATIO = 0.9
-TARGET_ROWS = 100_000
 SEED = 42
 
 
@@ -37,22 +36,22 @@ class PreparedData:
 def prepare_training_data(
     df: DataFrame,
     min_non_null_ratio: float = MIN_NON_NULL_RATIO,
-    target_rows: int | None = TARGET_ROWS,
+    target_rows: int | None = None,
     seed: int = SEED,
     exclude: Iterable[str] = (),
     sampling: str = "exact",
     rank: Callable[[list[str]], Column] | None = None,
 ) -> PreparedData:
-    """Select usable numeric columns, cast them to double, drop copies and sample.
+    """Select usable numeric columns, cast them to double and drop copies; sample if asked.
 
     A column is usable if it is filled enough and varies; both are measured on
     the raw rows in one pass. `exclude` names columns that must not become
     features, such as identifiers.
 
-    `sampling="exact"` takes exactly `target_rows` distinct rows, the same ones
-    for any layout, and shuffles only about that many. `"bernoulli"` draws rows
-    independently after a full distinct and returns at most `target_rows`.
-    `target_rows=None` keeps all distinct rows. `rank` replaces the row hash that
+    All distinct rows are kept unless `target_rows` asks for a sample. Then
+    `sampling="exact"` takes exactly so many distinct rows, the same ones for any
+    layout, and shuffles only about that many; `"bernoulli"` draws rows
+    independently after a full distinct and returns at most so many. `rank` replaces the row hash that
     orders an exact sample: a function from the feature names to a column of
     ranks in [0, 1).
     """
@@ -71,6 +70,5 @@ def prepare_training_data(
         sample = sample_lowest(rows, target_rows, by, total, distinct=True)
     else:
         distinct = cut_lineage(distinct_rows(rows), "distinct")
-        # Which rows a capped draw keeps may change when it is computed again.
-        sample = cut_lineage(sample_bernoulli(distinct, target_rows, seed), "sample")
+        sample = sample_bernoulli(distinct, target_rows, seed)
     return PreparedData(sample, tuple(features), total)

@@ -11,17 +11,13 @@ from clusterprep.sources.files import read_parquet
 # Fixed value: default size of the copy.
 SAMPLE_ROWS = 20_000
 
-# Rows per output file: a usual sample is one file, a large one is not one task.
-_ROWS_PER_FILE = 1_000_000
-
 
 def write_sample(
     spark: SparkSession,
     source: str,
     destination: str,
     n: int = SAMPLE_ROWS,
-    files: int | None = None,
+    files: int = 1,
 ) -> None:
-    """Replace `destination` by any n rows of the table, in one file if they are few."""
-    rows = first_rows(read_parquet(spark, source), n)
-    write_parquet(rows, destination, files or -(-n // _ROWS_PER_FILE))
+    """Replace `destination` by any n rows of the table, in so many files."""
+    write_parquet(first_rows(read_parquet(spark, source), n), destination, files)

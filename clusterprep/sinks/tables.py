@@ -8,16 +8,14 @@ from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from clusterprep.functions.columns import as_text, quoted
+from clusterprep.sources.jdbc import read_jdbc
 
-# Names of the stored tables, and the width of text columns in a
-# database.
+# Names of the stored tables.
 INPUT_TABLE = "food_input"
 PREDICTIONS_TABLE = "food_predictions"
 METRICS_TABLE = "food_metrics"
-TEXT_WIDTH = 255
 
 
 class Target(Protocol):
@@ -63,16 +61,17 @@ class CatalogTarget:
 class JdbcTarget:
     """Tables of a database reached over JDBC; `properties` hold driver and login.
 
-    `connections` bounds how many tasks write at the same time. `text_width`
-    gives text columns a fixed width (`TEXT_WIDTH` is the usual one); otherwise
-    the database's default is used.
+    `connections` bounds how many tasks write, or read, at the same time. With a
+    numeric, date or timestamp `partition_column` tables that have it are read
+    by ranges of it; all others are read by one task. Text columns get the
+    database's own unlimited type.
     """
 
     url: str
     properties: Mapping[str, str] = field(default_factory=dict)
     connections: int = 8
     batch_size: int = 10_000
-    text_width: int | None = None
+    partition_column: str | None = None
 
     def write(self, df: DataFrame, table: str) -> None:
         writer = (
@@ -80,14 +79,12 @@ class JdbcTarget:
             .option("numPartitions", self.connections)
             .option("batchsize", self.batch_size)
         )
-        text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
-        if text and self.text_width:
-            types = ", ".join(f"{quoted(name)} VARCHAR({self.text_width})" for name in text)
-            writer = writer.option("createTableColumnTypes", types)
         writer.jdbc(self.url, table, properties=dict(self.properties))
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.jdbc(self.url, table, properties=dict(self.properties))
+        return read_jdbc(
+            spark, self.url, table, dict(self.properties), self.partition_column, self.connections
+        )
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -115,14 +112,22 @@ def replace_table(df: DataFrame, target: Target, table: str, as_strings: bool =
 def save_results(
     predictions: DataFrame, metrics: DataFrame, target: Target, as_strings: bool = False
 ) -> None:
-    """Replace the predictions table, then the metrics table."""
-    replace_table(predictions, target, PREDICTIONS_TABLE, as_strings)
-    replace_table(metrics, target, METRICS_TABLE, as_strings)
+    """Replace the predictions table, then the metrics table.
+
+    Without predictions neither is touched, so the two always belong together.
+    """
+    if replace_table(predictions, target, PREDICTIONS_TABLE, as_strings):
+        replace_table(metrics, target, METRICS_TABLE, as_strings)
 
 
 def save_input(df: DataFrame, target: Target) -> DataFrame:
-    """Replace the input table by the source rows and read it back."""
-    replace_table(df, target, INPUT_TABLE)
+    """Replace the input table by the source rows and read it back.
+
+    An empty frame changes nothing and is returned itself: what the table holds
+    are older rows.
+    """
+    if not replace_table(df, target, INPUT_TABLE):
+        return df
     return target.read(df.sparkSession, INPUT_TABLE)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, datetime
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -16,21 +18,33 @@ def read_jdbc(
     """Database table over JDBC.
 
     With a numeric, date or timestamp `partition_column` the executors read
-    ranges of it in parallel; the range ends are asked from the database.
+    ranges of it in parallel; the range ends are asked from the database. A
+    table without that column, or without values in it, is read by one task.
     """
-    options = dict(properties or {})
-    if partition_column is None:
-        return spark.read.jdbc(url, table, properties=options)
+    options = {"url": url, **(properties or {})}
+    whole = spark.read.format("jdbc").options(**options).option("dbtable", table).load()
+    if partition_column is None or partition_column not in whole.columns:
+        return whole
     ends = f"(SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi FROM {table}) ends"
-    row = spark.read.jdbc(url, ends, properties=options).first()
+    row = spark.read.format("jdbc").options(**options).option("dbtable", ends).load().first()
     if row[0] is None:
-        return spark.read.jdbc(url, table, properties=options)
-    return spark.read.jdbc(
-        url,
-        table,
-        column=partition_column,
-        lowerBound=row[0],
-        upperBound=row[1],
-        numPartitions=partitions,
-        properties=options,
+        return whole
+    return (
+        spark.read.format("jdbc")
+        .options(**options)
+        .option("dbtable", table)
+        .option("partitionColumn", partition_column)
+        .option("lowerBound", _bound(row[0]))
+        .option("upperBound", _bound(row[1]))
+        .option("numPartitions", str(partitions))
+        .load()
     )
+
+
+def _bound(value) -> str:
+    """Text of a range end as Spark parses it: dates and timestamps, or whole numbers."""
+    if isinstance(value, datetime):
+        return value.isoformat(sep=" ")
+    if isinstance(value, date):
+        return value.isoformat()
+    return str(int(value))

@@ -100,7 +100,15 @@ def test_both_forms_of_nearest(spark, monkeypatch, flat):
 def test_centroid_update(spark):
     df = spark.createDataFrame([(0.0,), (2.0,), (9.0,), (None,)], "`a.b` double")
     rows = {tuple(r) for r in centroid_update(df, ["a.b"], [[0.0], [10.0], [99.0]]).collect()}
-    assert rows == {(0, 2, 1.0), (1, 1, 9.0), (None, 1, None)}
+    assert rows == {(0, 2, 1.0), (1, 1, 9.0), (2, 0, 99.0)}
+
+
+@pytest.mark.parametrize("flat", [0, 1000])
+def test_rows_with_a_missing_value_have_no_nearest_center(spark, monkeypatch, flat):
+    monkeypatch.setattr(cluster, "_FLAT_COORDINATES", flat)
+    df = spark.createDataFrame([(math.nan, 0), (9.0, 1), (None, 2)], "a double, id int")
+    rows = assign_nearest(df, ["a"], [[0.0], [10.0]])
+    assert {r["id"]: r["prediction"] for r in rows.collect()} == {0: None, 1: 1, 2: None}
 
 
 def brute_force_silhouette(points, distance):

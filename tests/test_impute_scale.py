@@ -89,3 +89,10 @@ def test_assemble_refuses_null(spark):
     df = spark.createDataFrame([(None,), (1.0,)], "a double")
     with pytest.raises(Exception, match="(?i)null"):
         assemble(df, ["a"]).collect()
+
+
+@pytest.mark.parametrize("error", [0.0, 0.001])
+def test_infinite_median(spark, error):
+    df = spark.createDataFrame([(math.inf,), (math.inf,), (1.0,), (None,)], "a double")
+    rows = impute(df, ["a"], "median", error)
+    assert [r["a_imp"] for r in rows.where("a IS NULL").collect()] == [math.inf]

@@ -4,6 +4,7 @@ import random
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from clusterprep.operators.order_statistics import count_values, kth_smallest
 
@@ -50,3 +51,13 @@ def test_position_out_of_range(spark):
     df = spark.createDataFrame([(1.0,)], ["a"])
     with pytest.raises(ValueError, match="out of range"):
         kth_smallest(df, {"a": 2}, {"a": 1})
+
+
+def test_medians_of_many_columns(spark):
+    """The work and what reaches the driver grow with the columns, not their square."""
+    columns = [f"c{i}" for i in range(300)]
+    df = spark.range(0, 400, 1, 2).select(*[(F.col("id") * (i + 1) % 401).cast("double").alias(c) for i, c in enumerate(columns)])
+    sizes = dict.fromkeys(columns, 400)
+    found = kth_smallest(df, dict.fromkeys(columns, 200), sizes, direct_rows=100)
+    for i in (0, 7, 299):
+        assert found[f"c{i}"] == sorted(n * (i + 1) % 401 for n in range(400))[199]

@@ -91,3 +91,46 @@ def test_run_reads_and_saves(spark, distance):
     assert target.read(spark, PREDICTIONS_TABLE).count() == 300
     assert tuple(results_summary(spark, target).first()) == ("silhouette", result.score, 300)
     assert -1 <= result.score <= 1
+
+
+def overlapping(spark, partitions):
+    """Rows without clear groups, in so many partitions."""
+    i = F.col("id")
+    return spark.range(0, 6000, 1, partitions).select(
+        (i * 7919 % 50).cast("double").alias("q"),
+        (i * 104729 % 9973).cast("double").alias("p"),
+        (i * 31 % 11 / 100).alias("d"),
+    )
+
+
+@pytest.mark.parametrize("target_rows", [None, 2000])
+def test_clusters_repeat(spark, target_rows):
+    """Ordinary data, many partitions: the same centres for any layout, each time."""
+    settings = {
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    params = ClusterParams(k=5, target_rows=target_rows)
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        found = [
+            cluster_table(overlapping(spark, partitions), params)
+            for partitions in (1, 3, 40)
+            for _ in range(2)
+        ]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    centers = [[x for center in result.model.centers for x in center] for result in found]
+    for other in centers[1:]:
+        assert other == pytest.approx(centers[0], rel=1e-9)
+    assert len({round(result.score, 9) for result in found}) == 1
+
+
+def test_all_rows_are_clustered_unless_a_sample_is_asked_for(spark):
+    df = spark.range(0, 120_000, 1, 8).select(F.col("id").cast("double").alias("x"))
+    result = cluster_table(df)
+    assert result.predictions.count() == 120_000
+    assert ClusterParams().target_rows is None

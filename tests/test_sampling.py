@@ -114,9 +114,15 @@ def test_first_rows(spark, table, n):
     assert set(rows) <= set(rows_of(df))
 
 
-def test_first_rows_reads_few_files(spark, table):
-    rows = first_rows(spark.read.parquet(table), 150)
-    assert rows.select(F.floor(F.col("id") / 100)).distinct().count() == 2  # 100 ids per file
+def test_plan_of_first_rows_does_not_grow_with_the_files(spark, table):
+    sizes = []
+    for partitions in (2, 300):
+        path = fresh_path(spark, "files")
+        spark.range(0, 1000, 1, partitions).write.parquet(path)
+        rows = first_rows(spark.read.parquet(path), 900)
+        assert rows.count() == 900
+        sizes.append(len(rows._jdf.queryExecution().optimizedPlan().toString()))
+    assert sizes[0] == sizes[1]
 
 
 def test_first_rows_without_files(numbers):
@@ -131,3 +137,27 @@ def test_write_sample_is_one_file_and_replaces(spark, table):
     copy = spark.read.parquet(out)
     assert len(copy.inputFiles()) == 1 and copy.count() == 120
     assert copy.columns == ["id", "s"]
+
+
+def test_one_row_copied_to_a_third_is_cut_inside_its_copies(spark):
+    copies = spark.range(0, 2000, 1, 4).select(F.lit(7.0).alias("a"), F.lit(None).cast("int").alias("b"))
+    others = spark.range(0, 4000, 1, 4).select(F.col("id").cast("double").alias("a"), F.lit(1).alias("b"))
+    df = others.unionAll(copies)
+    rank = row_rank(["a", "b"], 42)
+    below = df.where(rank < copies.select(rank).first()[0]).count()
+    sample = sample_lowest(df, below + 700, rank)
+    assert sample.count() == below + 700
+    assert sample.where("b IS NULL").count() == 700
+    assert "SinglePartition" not in sample._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bernoulli_has_no_single_task(numbers):
+    plan = sample_bernoulli(numbers, 1000, 42)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
+def test_signed_zero_has_one_md5_rank(spark):
+    df = spark.createDataFrame([(0.0,), (-0.0,)], ["a"])
+    assert df.select(md5_rank(["a"], 1).alias("r")).distinct().count() == 1
+    texts = spark.createDataFrame([("0.0",), ("-0.0",)], ["a"])
+    assert texts.select(md5_rank(["a"], 1).alias("r")).distinct().count() == 2

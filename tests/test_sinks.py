@@ -1,6 +1,7 @@
 """Result tables. JDBC calls are recorded, as no database may be started here."""
 
 import uuid
+from datetime import date, datetime
 from decimal import Decimal
 from unittest.mock import MagicMock, call
 
@@ -103,28 +104,85 @@ def recorded(df):
 
 def test_jdbc_write(spark):
     frame, writer = recorded(text_columns(predictions(spark)))
-    JdbcTarget("jdbc:x", {"user": "u"}, connections=3, text_width=255).write(frame, "t")
+    JdbcTarget("jdbc:x", {"user": "u"}, connections=3).write(frame, "t")
     writer.mode.assert_called_once_with("overwrite")
-    types = "`a.b` VARCHAR(255), `c` VARCHAR(255), `prediction` VARCHAR(255)"
-    assert writer.option.mock_calls == [
-        call("numPartitions", 3),
-        call("batchsize", 10_000),
-        call("createTableColumnTypes", types),
-    ]
+    assert writer.option.mock_calls == [call("numPartitions", 3), call("batchsize", 10_000)]
     writer.jdbc.assert_called_once_with("jdbc:x", "t", properties={"user": "u"})
 
 
-def test_jdbc_read_in_parallel():
+def reader(ends):
+    """A session whose reader records options; the first row of any table is `ends`."""
     spark = MagicMock()
-    spark.read.jdbc.return_value.first.return_value = (5, 90)
-    read_jdbc(spark, "jdbc:x", "t", {"user": "u"}, partition_column="id", partitions=4)
-    spark.read.jdbc.assert_called_with(
-        "jdbc:x", "t", column="id", lowerBound=5, upperBound=90, numPartitions=4, properties={"user": "u"}
-    )
+    jdbc = spark.read.format.return_value
+    jdbc.options.return_value = jdbc.option.return_value = jdbc
+    jdbc.load.return_value.first.return_value = ends
+    jdbc.load.return_value.columns = ["id", "day"]
+    return spark, jdbc
+
+
+def options(jdbc):
+    return [c.args for c in jdbc.option.mock_calls]
+
+
+@pytest.mark.parametrize(
+    "ends,low,high",
+    [
+        ((5, 90), "5", "90"),
+        ((Decimal("5"), Decimal("90")), "5", "90"),
+        ((date(2024, 1, 2), date(2024, 3, 4)), "2024-01-02", "2024-03-04"),
+        (
+            (datetime(2024, 1, 2, 3, 4, 5), datetime(2024, 3, 4)),
+            "2024-01-02 03:04:05",
+            "2024-03-04 00:00:00",
+        ),
+    ],
+)
+def test_jdbc_read_in_parallel(ends, low, high):
+    spark, jdbc = reader(ends)
+    read_jdbc(spark, "jdbc:x", "t", {"user": "u"}, partition_column="day", partitions=4)
+    jdbc.options.assert_called_with(url="jdbc:x", user="u")
+    assert options(jdbc)[-5:] == [
+        ("dbtable", "t"),
+        ("partitionColumn", "day"),
+        ("lowerBound", low),
+        ("upperBound", high),
+        ("numPartitions", "4"),
+    ]
 
 
-def test_jdbc_read_of_an_empty_table_is_not_split():
-    spark = MagicMock()
-    spark.read.jdbc.return_value.first.return_value = (None, None)
-    read_jdbc(spark, "jdbc:x", "t", partition_column="id")
-    spark.read.jdbc.assert_called_with("jdbc:x", "t", properties={})
+@pytest.mark.parametrize("column", ["id", "other", None])
+def test_jdbc_read_that_cannot_be_split(column):
+    spark, jdbc = reader((None, None))
+    assert read_jdbc(spark, "jdbc:x", "t", partition_column=column) is jdbc.load.return_value
+    assert ("dbtable", "t") in options(jdbc)
+    assert not any(name == "partitionColumn" for name, _ in options(jdbc))
+
+
+def test_jdbc_target_reads_by_its_partition_column():
+    spark, jdbc = reader((1, 2))
+    JdbcTarget("jdbc:x", {}, connections=5, partition_column="id").read(spark, "t")
+    assert options(jdbc)[-1] == ("numPartitions", "5")
+
+
+def test_empty_input_is_not_answered_with_old_rows(spark, target):
+    replace_table(predictions(spark), target, INPUT_TABLE)
+    empty = spark.createDataFrame([], "b int")
+    assert save_input(empty, target).columns == ["b"] and save_input(empty, target).count() == 0
+
+
+def test_results_without_predictions_leave_both_tables(spark, target):
+    save_results(predictions(spark), metrics_table(spark, {"m": 1.0}), target)
+    save_results(predictions(spark).limit(0), metrics_table(spark, {"m": 2.0}), target)
+    assert [tuple(r) for r in results_summary(spark, target).collect()] == [("m", 1.0, 2)]
+
+
+def test_numbers_are_plain_decimals(spark):
+    values = [1e7, -1.25e7, 5e-4, -1.5e-10, 123456789.125, 1e22, 1.0, 0.0, 0.001, 9999999.5, float("inf")]
+    df = spark.createDataFrame([(v,) for v in values], ["x"])
+    texts = [r[0] for r in text_columns(df).collect()]
+    assert texts[:10] == [
+        "10000000.0", "-12500000.0", "0.0005", "-0.00000000015", "123456789.125",
+        "10000000000000000000000.0", "1.0", "0.0", "0.001", "9999999.5",
+    ]
+    assert texts[10] == "Infinity"
+    assert [float(t) for t in texts[:10]] == values[:10]
