@@ -11,7 +11,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 
-SLAB = 1 << 20
+SLAB = 1 << 18
 
 _LETTERS = np.arange(256, dtype=np.uint8)
 LOWER = np.where((_LETTERS >= 65) & (_LETTERS <= 90), _LETTERS + 32, _LETTERS).astype(np.uint8)

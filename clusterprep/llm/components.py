@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clusterprep.session import cut_lineage
+from clusterprep.session import cut_lineage, discard
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -20,7 +20,9 @@ def components(edges: DataFrame) -> DataFrame:
     current = cut_lineage(_oriented(edges), "edges")
     state = _fingerprint(current)
     while state[0]:
-        current = cut_lineage(_small_star(_large_star(current)), "edges")
+        last = current
+        current = cut_lineage(_small_star(_large_star(last)), "edges")
+        discard(last)
         before, state = state, _fingerprint(current)
         if state == before:
             break

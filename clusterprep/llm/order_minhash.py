@@ -18,7 +18,7 @@ nodes all pairs are candidates. In a larger one each node is paired with one
 leader (the node of most copies), and the bucket is split by a larger sample
 of the same hash function, again and again up to `ELLS[-1]` k-mers; in buckets
 still large then, nodes that don't match their leader elect the next one until
-none is left. So the pairs grow with the nodes, never with the square of a
+so few are left that all pairs are taken. So the pairs grow with the nodes, never with the square of a
 bucket, and no candidate is dropped. Two texts of similarity 0.8 share an
 ordered sample of 4 with a chance of about 0.41 per band: all 24 bands miss
 them once in 300,000 cases.
@@ -43,14 +43,15 @@ from pyspark.sql import types as T
 from clusterprep.llm.arrays import Words, grams, mix, slabs, text_bytes
 from clusterprep.llm.components import components
 from clusterprep.llm.rows import map_arrow, picked, small, with_row, without
-from clusterprep.session import cut_lineage
+from clusterprep.session import cut_lineage, discard
 
 K = 5
 BANDS = 24
-ELLS = (4, 6, 8, 10, 12)
+ELLS = (4, 6, 8, 10, 12, 16, 20)
 SIMILARITY = 0.8
-SMALL = 16
-_WIDE = 1 << 20  # hash values held at a time
+SMALL = 32
+_PART = 64 // (len(ELLS) - 1)  # bits kept of each larger sample
+_WIDE = 1 << 18  # hash values held at a time
 
 _SEEDS = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
 _ODD = mix(np.arange(101, BANDS + 101, dtype=np.uint64)) | np.uint64(1)
@@ -73,7 +74,7 @@ def labelled_kmers(words: np.ndarray) -> np.ndarray:
 
 
 def ordered_samples(kmers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each band a 64-bit key of the smallest sample, and 16 bits for each larger one."""
+    """For each band a 64-bit key of the smallest sample, and a few bits for each larger one."""
     most = min(ELLS[-1], len(kmers))
     together = max(1, _WIDE // len(kmers))
     picks, values = [], []
@@ -97,7 +98,7 @@ def ordered_samples(kmers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if keys is None:
             keys = code
         else:
-            deep = (deep << np.uint64(16)) | (code >> np.uint64(48))
+            deep = (deep << np.uint64(_PART)) | (code >> np.uint64(64 - _PART))
     return keys.view(np.int64), deep.view(np.int64)
 
 
@@ -207,25 +208,39 @@ def _similar_size(left: str, right: str):
 
 def _candidates(bands: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """Pairs (a, b) of candidate nodes, and the (key, node, size) rows of buckets that stay large."""
-    current, pairs, large = bands, [], None
-    for depth in range(len(ELLS)):
-        if depth:
-            part = F.shiftrightunsigned("deep", 64 - 16 * depth)
-            current = large.select(F.xxhash64("key", part).alias("key"), "deep", "node", "size")
-        buckets = current.groupBy("key").agg(
-            F.count(F.lit(1)).alias("members"),
-            F.min("node").alias("leader"),
-            F.min_by("size", "node").alias("leader_size"),
-        )
-        buckets = cut_lineage(buckets.filter("members > 1"), "buckets")
-        met = cut_lineage(current.join(buckets, "key"), "met")
-        few = met.filter(F.col("members") <= SMALL)
-        pairs.append(_all_pairs(few))
-        large = met.filter(F.col("members") > SMALL)
-        pairs.append(_leader_pairs(large))
-        if large.isEmpty():
-            return _distinct(pairs), None
-    return _distinct(pairs), large
+    found, large = _met(bands)
+    pairs = [found]
+    for depth in range(1, len(ELLS)):
+        if large is None:
+            break
+        part = F.shiftrightunsigned("deep", _PART * (len(ELLS) - 1 - depth))
+        current = large.select(F.xxhash64("key", part).alias("key"), "deep", "node", "size")
+        before = large
+        found, large = _met(current)
+        discard(before)
+        pairs.append(found)
+    every = cut_lineage(_distinct(pairs), "pairs")
+    discard(*pairs)
+    return every, large
+
+
+def _met(bands: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Candidate pairs of the buckets by `key`, and the rows of large ones with their leader."""
+    buckets = bands.groupBy("key").agg(
+        F.count(F.lit(1)).alias("members"),
+        F.min("node").alias("leader"),
+        F.min_by("size", "node").alias("leader_size"),
+    )
+    buckets = cut_lineage(buckets.filter("members > 1"), "buckets")
+    met = cut_lineage(bands.join(buckets, "key"), "met")
+    large = cut_lineage(met.filter(F.col("members") > SMALL), "large")
+    few = met.filter(F.col("members") <= SMALL)
+    pairs = cut_lineage(_all_pairs(few).unionAll(_leader_pairs(large)), "pairs")
+    discard(buckets, met)
+    if large.isEmpty():
+        discard(large)
+        large = None
+    return pairs, large
 
 
 def _distinct(pairs: list[DataFrame]) -> DataFrame:
@@ -251,7 +266,8 @@ def _leader_pairs(large: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     """The pairs whose texts align with SIMILARITY or more."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node")))
+    nodes = ends.distinct()
     nodes = cut_lineage(nodes.select("node", _row_of("node").alias("row")), "involved")
     words = cut_lineage(signed.select("row", "words").join(small(nodes), "row").drop("row"), "words")
     left = words.select(F.col("node").alias("a"), F.col("words").alias("left"))
@@ -276,35 +292,37 @@ def _verified(pairs: DataFrame, signed: DataFrame) -> DataFrame:
             ]
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    return map_arrow(pairs.join(left, "a").join(right, "b"), run, "a long, b long")
+    linked = map_arrow(pairs.join(left, "a").join(right, "b"), run, "a long, b long")
+    linked = cut_lineage(linked, "links")
+    discard(nodes, words)
+    return linked
 
 
 def near_links(signed: DataFrame, nodes: DataFrame) -> DataFrame:
     """Links (a, b) between nodes of similarity SIMILARITY or more."""
     least = nodes.select("node", _row_of("node").alias("row"))
-    sampled = signed.select("row", "size", "bands").filter("size > 0").join(least, "row")
+    # As many rows on both sides as there are texts: never a broadcast.
+    sampled = signed.select("row", "size", "bands").filter("size > 0").join(least.hint("merge"), "row")
     sampled = cut_lineage(sampled.select("node", "size", "bands"), "sampled")
     bands = sampled.select("node", "size", F.explode("bands").alias("band"))
     bands = bands.select("band.key", "band.deep", "node", "size")
     pairs, large = _candidates(bands)
-    links = [cut_lineage(_verified(cut_lineage(pairs, "pairs"), signed), "links")]
+    discard(sampled)
+    links = [_verified(pairs, signed)]
+    discard(pairs)
     while large is not None:
         # Nodes that don't match their leader elect another one.
         linked = links[-1].select(F.col("a").alias("leader"), F.col("b").alias("node"))
         left = large.filter("node <> leader").join(linked, ["leader", "node"], "left_anti")
-        left = cut_lineage(left.select("key", "node", "size"), "left")
-        buckets = left.groupBy("key").agg(
-            F.count(F.lit(1)).alias("members"),
-            F.min("node").alias("leader"),
-            F.min_by("size", "node").alias("leader_size"),
-        )
-        buckets = cut_lineage(buckets.filter("members > 1"), "buckets")
-        if buckets.isEmpty():
-            break
-        large = cut_lineage(left.join(buckets, "key"), "met")
-        pairs = cut_lineage(_leader_pairs(large).distinct(), "pairs")
-        links.append(cut_lineage(_verified(pairs, signed), "links"))
-    return _distinct(links)
+        left = cut_lineage(left.select("key", "deep", "node", "size"), "left")
+        discard(large)
+        pairs, large = _met(left)
+        distinct = cut_lineage(pairs.distinct(), "pairs")
+        links.append(_verified(distinct, signed))
+        discard(left, pairs, distinct)
+    every = cut_lineage(_distinct(links), "links")
+    discard(*links)
+    return every
 
 
 def near_classes(
@@ -321,9 +339,9 @@ def near_classes(
         rows = rows.withColumn("row", F.monotonically_increasing_id())
     signed = cut_lineage(signatures(rows.select("row", "doc_id", "text")), "signatures")
     nodes = cut_lineage(_nodes(signed), "nodes")
-    links = cut_lineage(near_links(signed, nodes), "links")
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node")
-    degree = degree.agg(F.count(F.lit(1)).alias("n_links"))
+    links = near_links(signed, nodes)
+    ends = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node")))
+    degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     labelled = (
         nodes.join(components(links), "node", "left")
         .join(degree, "node", "left")
