@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from clusterprep.functions.columns import md5_rank, numeric_columns  # noqa: E402
+from clusterprep.functions.columns import md5_rank, numeric_columns, row_rank  # noqa: E402
 from clusterprep.operators.cluster import assign_nearest, centroid_update  # noqa: E402
 from clusterprep.operators.evaluate import (  # noqa: E402
     COSINE,
@@ -48,7 +48,7 @@ from clusterprep.plans.cluster_job import (  # noqa: E402
 )
 from clusterprep.plans.prepare import prepare_training_data  # noqa: E402
 from clusterprep.plans.sample_file import SAMPLE_ROWS, write_sample  # noqa: E402
-from clusterprep.session import cut_lineage, fresh_path  # noqa: E402
+from clusterprep.session import fresh_path  # noqa: E402
 from clusterprep.sinks.files import rows_to_json, write_jsonl  # noqa: E402
 from clusterprep.sinks.tables import (  # noqa: E402
     PREDICTIONS_TABLE,
@@ -61,7 +61,7 @@ from clusterprep.sinks.tables import (  # noqa: E402
 from clusterprep.sources.files import read_jsonl, read_lines, read_parquet  # noqa: E402
 
 # Three well separated groups; some y are missing.
-BLOBS = ClusterParams(k=3, relative_error=0.0, target_rows=None)
+BLOBS = ClusterParams(k=3, relative_error=0.0)
 CENTERS = [[10.0, 20000.0], [40.0, 80000.0]]
 
 
@@ -166,6 +166,8 @@ def predictions_text_sink(spark, sf_dir):
         "CASE WHEN l_orderkey % 13 = 0 THEN NULL ELSE l_extendedprice END AS price",
         "l_quantity",
         "l_extendedprice",
+        "l_extendedprice * 1024 AS large",
+        "l_tax / 64 AS small",
         "l_returnflag = 'R' AS returned",
         "l_returnflag",
         "array(l_linenumber, l_suppkey) AS codes",
@@ -236,7 +238,7 @@ def distinct_feature_rows(spark, sf_dir):
 
 
 def prepare_all(spark, sf_dir):
-    return prepare_training_data(_holes_wide(spark, sf_dir), target_rows=None).df
+    return prepare_training_data(_holes_wide(spark, sf_dir)).df
 
 
 def prepare_sampled(spark, sf_dir):
@@ -256,14 +258,18 @@ def sample_hash_fraction(spark, sf_dir):
 
 
 def sample_bernoulli_cap(spark, sf_dir):
+    """The whole of a small table, and sizes and origin of a draw from a larger one."""
     target = 1000
     rows = distinct_feature_rows(spark, sf_dir)
-    sample = cut_lineage(sample_bernoulli(rows, target, 42), "bernoulli")
+    sample = sample_bernoulli(rows, target, 42)
     known = sample.join(rows, rows.columns, "left_semi").count()
-    return sample.agg(
-        (F.count(F.lit(1)) <= target).alias("within_target"),
-        (F.count(F.lit(1)) >= target * 0.8).alias("near_target"),
-        (F.count(F.lit(1)) == known).alias("all_from_source"),
+    drawn = sample.count()
+    every = sample_bernoulli(rows, rows.count(), 42)
+    return every.agg(
+        F.count(F.lit(1)).alias("n_all"),
+        F.round(F.sum("l_tax"), 4).alias("tax_all"),
+        F.lit(0.8 * target <= drawn <= target).alias("near_target"),
+        F.lit(drawn == known).alias("all_from_source"),
     )
 
 
@@ -346,6 +352,67 @@ def kmeans_cluster_sizes(spark, sf_dir):
     )
 
 
+def cluster_all_rows(spark, sf_dir):
+    """By default every distinct row is clustered; the table has more than 100,000 of them."""
+    rows = _table(spark, sf_dir, "lineitem").selectExpr(
+        "l_quantity", "l_extendedprice", "l_discount", "explode(sequence(0, 2)) AS n"
+    )
+    rows = rows.selectExpr("l_quantity", "l_extendedprice + n / 1000D AS price", "l_discount")
+    predictions = cluster_table(rows).predictions
+    return predictions.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("prediction").alias("n_predicted")
+    )
+
+
+def _share_elsewhere(predictions, names):
+    """Share of rows nearer to the mean of another cluster, measured without the library."""
+    scale = predictions.agg(
+        *[F.avg(n).alias(f"m_{n}") for n in names], *[F.stddev(n).alias(f"s_{n}") for n in names]
+    ).first()
+    rows = predictions.select(
+        "prediction", *[((F.col(n) - scale[f"m_{n}"]) / scale[f"s_{n}"]).alias(n) for n in names]
+    )
+    means = rows.groupBy("prediction").agg(*[F.avg(n).alias(n) for n in names]).collect()
+
+    def distance(mean):
+        return sum((F.col(n) - mean[n]) * (F.col(n) - mean[n]) for n in names)
+
+    nearest = F.array_min(
+        F.array(*[F.struct(distance(m).alias("d"), F.lit(m["prediction"]).alias("c")) for m in means])
+    )["c"]
+    return rows.agg(F.avg((nearest != F.col("prediction")).cast("double"))).first()[0]
+
+
+def cluster_default_fixed_point(spark, sf_dir):
+    """A job with default parameters on overlapping data ends where k-means stops."""
+    rows = _table(spark, sf_dir, "lineitem").select(FEATURES)
+    result = cluster_table(rows)
+    target = ParquetTarget(fresh_path(spark, "ordinary"))
+    save_results(result.predictions, result.metrics, target)
+    stored = target.read(spark, PREDICTIONS_TABLE)
+    share = _share_elsewhere(stored, FEATURES)
+    return stored.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.countDistinct("prediction").alias("n_clusters"),
+        F.lit(share < 0.002).alias("settled"),
+    )
+
+
+def cluster_sampled(spark, sf_dir):
+    """A job on a sample of 1000 distinct rows: those of lowest rank, and settled as well."""
+    rows = _table(spark, sf_dir, "lineitem").select(FEATURES)
+    sample = cluster_table(rows, ClusterParams(k=3, target_rows=1000)).predictions
+    rank = row_rank(FEATURES, ClusterParams().seed)
+    every = rows.distinct().select(*FEATURES, rank.alias("rank"))
+    highest = sample.select(F.max(rank)).first()[0]
+    share = _share_elsewhere(sample, FEATURES)
+    return every.agg(
+        F.count_if(F.col("rank") <= highest).alias("n_lowest"),
+        F.lit(sample.join(every, FEATURES, "left_semi").count()).cast("long").alias("n_from_source"),
+        F.lit(share < 0.01).alias("settled"),
+    )
+
+
 def predictions_projection(spark, sf_dir):
     return _clustered_blobs(spark, sf_dir).predictions
 
@@ -433,6 +500,9 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "centroid_update": centroid_update_rows,
         "kmeans_blobs": kmeans_blobs,
         "kmeans_cluster_sizes": kmeans_cluster_sizes,
+        "cluster_all_rows": cluster_all_rows,
+        "cluster_default_fixed_point": cluster_default_fixed_point,
+        "cluster_sampled": cluster_sampled,
         "predictions_projection": predictions_projection,
         "silhouette_blobs": silhouette_blobs,
         "silhouette_embeddings": silhouette_embeddings,
@@ -577,6 +647,8 @@ def table_oracle_sql() -> dict[str, str]:
                         ELSE CAST(l_extendedprice AS VARCHAR) END AS price,
                    CAST(l_quantity AS VARCHAR) AS l_quantity,
                    CAST(l_extendedprice AS VARCHAR) AS l_extendedprice,
+                   CAST(l_extendedprice * 1024 AS VARCHAR) AS large,
+                   CAST(l_tax / 64 AS VARCHAR) AS small,
                    CASE WHEN l_returnflag = 'R' THEN 'true' ELSE 'false' END AS returned,
                    l_returnflag,
                    '[' || l_linenumber || ',' || l_suppkey || ']' AS codes,
@@ -617,9 +689,9 @@ def table_oracle_sql() -> dict[str, str]:
             SELECT o_orderkey, o_totalprice FROM orders
             WHERE {_RANK_42.format(key="o_orderkey")} < 0.1""",
         "sample_bernoulli_cap": """
-            SELECT count(*) > 0 AS within_target, count(*) > 0 AS near_target,
-                   count(*) > 0 AS all_from_source
-            FROM lineitem""",
+            SELECT count(*) AS n_all, round(sum(l_tax), 4) AS tax_all, true AS near_target,
+                   true AS all_from_source
+            FROM (SELECT DISTINCT l_quantity, l_discount, l_tax FROM lineitem)""",
         "impute_median": _imputed_sql(
             "l_extendedprice", "SELECT quantile_disc(v, 0.5) AS filler FROM r"
         ),
@@ -652,6 +724,17 @@ def table_oracle_sql() -> dict[str, str]:
         "kmeans_cluster_sizes": f"""
             SELECT prediction, count(*) AS size, round(avg(x), 2) AS x, round(avg(y), 4) AS y
             FROM ({_BLOB_PREDICTIONS}) GROUP BY prediction""",
+        "cluster_all_rows": """
+            SELECT count(*) AS n_rows, count(*) AS n_predicted
+            FROM (SELECT DISTINCT l_quantity, l_extendedprice + n / 1000.0::DOUBLE AS price, l_discount
+                  FROM lineitem, range(0, 3) t(n))""",
+        "cluster_default_fixed_point": f"""
+            SELECT count(*) AS n_rows, CAST(2 AS BIGINT) AS n_clusters, true AS settled
+            FROM (SELECT DISTINCT {", ".join(FEATURES)} FROM lineitem)""",
+        "cluster_sampled": f"""
+            SELECT least(count(*), 1000) AS n_lowest, least(count(*), 1000) AS n_from_source,
+                   true AS settled
+            FROM (SELECT DISTINCT {", ".join(FEATURES)} FROM lineitem)""",
         "predictions_projection": _BLOB_PREDICTIONS,
         "silhouette_blobs": f"SELECT 'silhouette' AS metric, {blob_score} AS value",
         "silhouette_embeddings": f"""
