@@ -458,9 +458,11 @@ def word_count_lines(spark, sf_dir):
 
 def _training_data():
     """Queries of the training-data operators, where that subpackage is present."""
-    if importlib.util.find_spec("clusterprep.llm") is None:
-        return None
-    return importlib.import_module("clusterprep.llm.queries")
+    try:
+        found = importlib.util.find_spec("clusterprep.llm.queries")
+    except ModuleNotFoundError:
+        found = None
+    return importlib.import_module("clusterprep.llm.queries") if found else None
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
