@@ -1,8 +1,14 @@
 import pytest
 
-from clusterprep.__main__ import main
+from clusterprep.__main__ import _target, main, parsed
 from clusterprep.session import fresh_path
-from clusterprep.sinks.tables import METRICS_TABLE, PREDICTIONS_TABLE, ParquetTarget
+from clusterprep.sinks.tables import (
+    METRICS_TABLE,
+    PREDICTIONS_TABLE,
+    CatalogTarget,
+    JdbcTarget,
+    ParquetTarget,
+)
 
 
 def test_cluster(spark, sf_dir, capsys):
@@ -33,3 +39,26 @@ def test_words(spark, tmp_path):
 def test_unknown_strategy_is_refused():
     with pytest.raises(SystemExit):
         main(["cluster", "in", "out", "--imputer-strategy", "max"])
+
+
+def test_parameters_from_a_file(tmp_path):
+    file = tmp_path / "job.json"
+    file.write_text('{"k": 5, "target_rows": 70, "exclude": ["id"]}')
+    args = parsed(["cluster", "in", "out", "--config", str(file), "--k", "4"])
+    assert (args.k, args.target_rows, args.exclude, args.seed) == (4, 70, ["id"], 42)
+    file.write_text('{"clusters": 5}')
+    with pytest.raises(SystemExit):
+        parsed(["cluster", "in", "out", "--config", str(file)])
+
+
+def test_all_rows_by_default():
+    assert parsed(["cluster", "in", "out"]).target_rows is None
+
+
+def test_targets(tmp_path):
+    file = tmp_path / "login.json"
+    file.write_text('{"user": "u"}')
+    assert _target(parsed(["cluster", "in", "out"])) == ParquetTarget("out")
+    assert _target(parsed(["cluster", "in", "db", "--catalog"])) == CatalogTarget("db")
+    args = parsed(["cluster", "in", "jdbc:x", "--jdbc", "--jdbc-properties", str(file)])
+    assert _target(args) == JdbcTarget("jdbc:x", {"user": "u"})
