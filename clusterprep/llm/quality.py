@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clusterprep.llm.arrays import LOWER, WORD_BYTE, Words, mix, slabs, text_bytes
-from clusterprep.llm.rows import map_arrow, picked
+from clusterprep.llm.rows import map_arrow, picked, plain_name
 
 FEATURES = 2048
 DIMENSIONS = 64
@@ -202,7 +202,11 @@ def score_quality(
     """One row per row of `docs`: doc_id and its score, the likelihood of label 1."""
     rows = picked(docs, doc_id=id_col, text=text_col)
     schema = T.StructType([rows.schema["doc_id"], T.StructField("score", T.DoubleType())])
-    return _scored(rows, model, schema, lambda batch, scores: [batch.column("doc_id"), pa.array(scores)])
+
+    def scored(batch, scores):
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], schema.names)
+
+    return _scored(rows, model, schema, scored)
 
 
 def keep_quality(
@@ -211,13 +215,14 @@ def keep_quality(
     """The rows of `docs`, all columns, whose text scores at least `threshold`."""
 
     def kept(batch, scores):
-        return batch.filter(pa.array(scores >= threshold)).columns
+        return batch.filter(pa.array(scores >= threshold))
 
     return _scored(docs, model, docs.schema, kept, text_col)
 
 
 def _scored(rows: DataFrame, model: QualityModel, schema: T.StructType, result, text_col="text") -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(model)
+    text_col = plain_name(text_col)
 
     def run(batches):
         for slab in slabs(batches, text_col):
@@ -225,6 +230,6 @@ def _scored(rows: DataFrame, model: QualityModel, schema: T.StructType, result,
                 batch = slab.slice(start, _TEXTS)
                 features = text_features(*text_bytes(batch.column(text_col)))
                 scores = shared.value.vote(shared.value.embed(features))
-                yield pa.RecordBatch.from_arrays(result(batch, scores), schema.names)
+                yield result(batch, scores)
 
     return map_arrow(rows, run, schema)

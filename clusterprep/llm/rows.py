@@ -17,6 +17,14 @@ from clusterprep.session import cut_lineage
 # Rows of keys (8 to 40 bytes each) that may be broadcast; a larger side is shuffled.
 BROADCAST_ROWS = 500_000
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_BATCH_BYTES_DEFAULT = "67108864b"
+_WORKER_MEMORY = {
+    "MALLOC_ARENA_MAX": "2",
+    "MALLOC_MMAP_THRESHOLD_": str(32 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(64 << 20),
+}
+
 
 def unused(df: DataFrame, name: str) -> str:
     """`name`, with underscores added until no column of df has it."""
@@ -66,11 +74,29 @@ def map_arrow(
     """`mapInArrow`, with this library on the Python path of the workers.
 
     That helps where workers see the same folders as the driver; elsewhere the
-    library has to be sent with `--py-files`.
+    library has to be sent with `--py-files`. Rows hold whole texts, so batches
+    are limited by bytes, and workers give large arrays back when done.
     """
-    environment = df.sparkSession.sparkContext.environment
+    session = df.sparkSession
+    if session.conf.get(_BATCH_BYTES) == _BATCH_BYTES_DEFAULT:
+        session.conf.set(_BATCH_BYTES, "8m")
+    environment = session.sparkContext.environment
+    for name, value in _WORKER_MEMORY.items():
+        environment.setdefault(name, value)
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     here = str(Path(__file__).resolve().parents[2])
     if here not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([here, *paths])
-    return df.mapInArrow(run, schema)
+    if not any("." in name for name in df.columns):
+        return df.mapInArrow(run, schema)
+    # mapInArrow takes a dot for a field of a structure.
+    plain = df.toDF(*map(plain_name, df.columns))
+    if isinstance(schema, str):
+        return plain.mapInArrow(run, schema)
+    fields = [T.StructField(plain_name(f.name), f.dataType, f.nullable) for f in schema.fields]
+    return plain.mapInArrow(run, T.StructType(fields)).toDF(*schema.names)
+
+
+def plain_name(name: str) -> str:
+    """The name by which the function of `map_arrow` sees a column."""
+    return name.replace(".", "\u00b7")

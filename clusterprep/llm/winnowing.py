@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clusterprep.llm.arrays import Words, grams, slabs, text_bytes
-from clusterprep.llm.rows import map_arrow, picked
+from clusterprep.llm.rows import map_arrow, picked, plain_name
 
 WINDOW = 10
 K = 5
@@ -211,6 +211,7 @@ def drop_contaminated(
 ) -> DataFrame:
     """`docs` without the rows that share a window with an item, all columns."""
     parts = _parts(items, item_col, item_text_col)
+    text_col = plain_name(text_col)
 
     def run(batches):
         for slab in slabs(batches, text_col):
