@@ -1,0 +1,139 @@
+import random
+import re
+from bisect import bisect_left
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from clusterprep.llm import order_minhash
+from clusterprep.llm.components import components
+from tests.llm.frames import by_id, docs, empty
+
+
+def kmers(text):
+    lower = re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+    k, seen, found = min(5, len(words)), Counter(), []
+    for i in range(len(words) - k + 1 if words else 0):
+        gram = tuple(words[i : i + k])
+        found.append((gram, seen[gram]))
+        seen[gram] += 1
+    return found
+
+
+def similarity(left, right):
+    if not left or not right:
+        return 0.0
+    places = {x: i for i, x in enumerate(right)}
+    tails = []
+    for place in (places[x] for x in left if x in places):
+        n = bisect_left(tails, place)
+        tails[n : n + 1] = [place]
+    return len(tails) / (len(left) + len(right) - len(tails))
+
+
+def classes(texts):
+    found = [kmers(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if similarity(found[i], found[j]) >= order_minhash.SIMILARITY:
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+    return [top(i) for i in range(len(texts))]
+
+
+def variants(rng, base, count, edits):
+    for _ in range(count):
+        words = base.split()
+        for _ in range(rng.randint(0, edits)):
+            words[rng.randrange(len(words))] = f"new{rng.randrange(10**6)}"
+        yield " ".join(words)
+
+
+def corpus(seed, groups, size, edits):
+    rng = random.Random(seed)
+    texts = []
+    for g in range(groups):
+        base = " ".join(f"w{rng.randrange(400)}" for _ in range(120))
+        texts += variants(rng, base, size, edits)
+    texts += [" ".join(f"w{rng.randrange(400)}" for _ in range(rng.randint(1, 90))) for _ in range(30)]
+    passage = " ".join(f"common{i}" for i in range(60))
+    texts += [passage + f" own{i} " * 8 for i in range(20)]
+    rng.shuffle(texts)
+    return texts
+
+
+@pytest.mark.parametrize("seed,groups,size,edits", [(1, 12, 4, 3), (2, 1, 90, 2)])
+def test_classes_against_all_pairs(spark, seed, groups, size, edits):
+    texts = corpus(seed, groups, size, edits) + [None, "", "...", "...", "word", "Word!", "one two"]
+    found = by_id(order_minhash.near_classes(docs(spark, texts)), "class_id")
+    assert [found[i][0] for i in range(len(texts))] == classes(texts)
+
+
+def test_large_buckets_are_split_or_led(spark, monkeypatch):
+    monkeypatch.setattr(order_minhash, "SMALL", 2)
+    texts = corpus(3, 1, 60, 1)
+    found = by_id(order_minhash.near_classes(docs(spark, texts)), "class_id")
+    assert [found[i][0] for i in range(len(texts))] == classes(texts)
+
+
+def test_alignment_keeps_the_order():
+    rng = random.Random(5)
+    words = np.array([rng.randrange(2**32) for _ in range(300)], np.uint32)
+    same = order_minhash.labelled_kmers(words)
+    assert order_minhash.alignment(same, same) == 1.0
+    moved = order_minhash.labelled_kmers(np.concatenate([words[150:], words[:150]]))
+    assert order_minhash.alignment(same, moved) < 0.6
+    cut = order_minhash.labelled_kmers(words[:270])
+    assert order_minhash.alignment(same, cut) == pytest.approx(266 / 296)
+
+
+def test_labels_make_repeated_kmers_different():
+    labelled = order_minhash.labelled_kmers(np.array([1, 2, 1, 2, 1, 2, 1, 2, 1, 2], np.uint32))
+    assert len(set(labelled.tolist())) == 6
+
+
+def test_kept_rows(spark):
+    text = " ".join(f"w{i}" for i in range(50))
+    frame = docs(spark, [text, text, text + " end", "other words", "other words"], [4, 4, 2, None, 9])
+    rows = order_minhash.near_classes(frame).collect()
+    assert {(r["doc_id"], r["class_id"], r["class_size"]) for r in rows} == {
+        (4, 2, 3), (2, 2, 3), (None, 9, 2), (9, 9, 2),
+    }
+    kept = order_minhash.drop_near_copies(frame)
+    assert kept.columns == frame.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [2, 9]
+
+
+def test_long_text_and_empty_table(spark):
+    long = " ".join(str(i) for i in range(60_000))
+    found = by_id(order_minhash.near_classes(docs(spark, [long, long + " x", "y"])), "class_id", "n_links")
+    assert found == {0: (0, 1), 1: (0, 1), 2: (2, 0)}
+    assert order_minhash.near_classes(empty(spark)).count() == 0
+
+
+def test_components(spark):
+    rng = random.Random(7)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(160)] + [(i, i + 1) for i in range(400, 460)]
+    root = {}
+
+    def top(i):
+        while root.get(i, i) != i:
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        a, b = sorted((top(a), top(b)))
+        if a != b:
+            root[b] = a
+    nodes = {n for e in edges for n in e}
+    found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert found == {n: top(n) for n in nodes if top(n) != n}

@@ -1,0 +1,88 @@
+import random
+import re
+
+import pytest
+
+from clusterprep.llm import pii
+from tests.llm.frames import by_id, docs, empty
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        n = int(c) * (2 if i % 2 else 1)
+        total += n - 9 if n > 9 else n
+    return total % 10 == 0
+
+
+def brute(text):
+    found = []
+    for number, (kind, pattern) in enumerate(PATTERNS.items()):
+        for match in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", match.group())
+            valid = {
+                "email": lambda: True,
+                "ip": lambda: all(int(part) <= 255 for part in match.group().split(".")),
+                "card": lambda: 14 <= len(digits) <= 19 and luhn(digits),
+                "phone": lambda: 10 <= len(digits) <= 15,
+            }[kind]()
+            if valid:
+                found.append((match.start(), number, match.end()))
+    return sorted(found)
+
+
+def base(text):
+    return [span[:3] for span in pii.find_spans(text) if span[1] < len(pii.BASE_KINDS)]
+
+
+@pytest.mark.parametrize("letters", ["a.@-+1 (2)%_.9a@é0", "1234567890 -.+", "@a.b", "+1 ()-."])
+def test_base_spans_are_those_of_the_plain_patterns(letters):
+    rng = random.Random(letters)
+    for _ in range(4000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 60)))
+        assert base(text) == brute(text), text
+
+
+def test_very_long_runs_take_linear_time():
+    for text in ("a" * 300_000, "1" * 300_000, "a@" * 150_000, "1." * 150_000, "+1 " * 100_000):
+        pii.find_spans(text)
+    assert base("a" * 100_000 + "@b.cc") == [(0, 0, 100_005)]
+
+
+def test_checksums():
+    assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
+    assert pii.mod97("GB82WEST12345698765432") and not pii.mod97("GB82WEST12345698765431")
+
+
+def kinds(text):
+    return [pii.KINDS[span[1]] for span in pii.find_spans(text)]
+
+
+def test_context_moves_the_score():
+    assert kinds("number 123-45-6789 here") == []
+    assert kinds("her social security number 123-45-6789") == ["ssn"]
+    assert kinds("order number 123-45-6789, ssn") == []
+    assert kinds("tel 555-123-4567") == ["local_phone"] and kinds("555-123-4567") == []
+    assert kinds("GB82 WEST 1234 5698 7654 32") == ["iban"]
+    assert kinds("GB82 WEST 1234 5698 7654 33") == []
+    near = pii.find_spans("pay by card 4111 1111 1111 1111")[0]
+    far = pii.find_spans("version 4111 1111 1111 1111")[0]
+    assert near[3] > pii.PRIOR["card"] > far[3]
+
+
+def test_table(spark):
+    texts = [None, "", "é\U0001f600 a@b.cc x", "none", "a@b.cc"]
+    frame = docs(spark, texts, [0, 1, 2, 2, None])
+    rows = [(r["doc_id"], [tuple(s) for s in r["spans"]]) for r in pii.find_personal_data(frame).collect()]
+    assert sorted(rows, key=str) == sorted(
+        [(0, []), (1, []), (2, [("email", 3, 9, 0.9)]), (2, []), (None, [("email", 0, 6, 0.9)])], key=str
+    )
+    assert by_id(pii.redact(docs(spark, ["x a@b.cc, 1.2.3.4!"])), "text") == {0: ("x [EMAIL], [IP]!",)}
+    assert pii.find_personal_data(empty(spark)).count() == 0
