@@ -65,15 +65,19 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
 
 
 def discard(*frames: DataFrame) -> None:
-    """Delete what `cut_lineage` wrote for these frames, which nothing may read any more.
-
-    Shuffle files of frames that no one holds go as well: Spark deletes them
-    when the driver's garbage is collected, which is asked for here.
-    """
+    """Delete what `cut_lineage` wrote for these frames, which nothing may read any more."""
     for df in frames:
         _delete(df.sparkSession, df._clusterprep_path)
+    release_shuffles(frames[0].sparkSession)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of frames that no one holds any more.
+
+    It does so when the driver's garbage is collected, which is asked for here.
+    """
     gc.collect()
-    frames[0].sparkSession._jvm.System.gc()
+    spark._jvm.System.gc()
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
