@@ -18,7 +18,7 @@ nodes all pairs are candidates. In a larger one each node is paired with one
 leader (the node of most copies), and the bucket is split by a larger sample
 of the same hash function, again and again up to `ELLS[-1]` k-mers; in buckets
 still large then, nodes that don't match their leader elect the next one until
-so few are left that all pairs are taken. So the pairs grow with the nodes, never with the square of a
+so few (`LEFT`) are left that all pairs are taken. So the pairs grow with the nodes, never with the square of a
 bucket, and no candidate is dropped. Two texts of similarity 0.8 share an
 ordered sample of 4 with a chance of about 0.41 per band: all 24 bands miss
 them once in 300,000 cases.
@@ -47,9 +47,10 @@ from clusterprep.session import cut_lineage, discard
 
 K = 5
 BANDS = 24
-ELLS = (4, 6, 8, 10, 12, 16, 20)
+ELLS = (4, 7, 12, 20)
 SIMILARITY = 0.8
 SMALL = 32
+LEFT = 256
 _PART = 64 // (len(ELLS) - 1)  # bits kept of each larger sample
 _WIDE = 1 << 18  # hash values held at a time
 
@@ -208,7 +209,7 @@ def _similar_size(left: str, right: str):
 
 def _candidates(bands: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """Pairs (a, b) of candidate nodes, and the (key, node, size) rows of buckets that stay large."""
-    found, large = _met(bands)
+    found, large = _met(bands, SMALL)
     pairs = [found]
     for depth in range(1, len(ELLS)):
         if large is None:
@@ -216,7 +217,7 @@ def _candidates(bands: DataFrame) -> tuple[DataFrame, DataFrame | None]:
         part = F.shiftrightunsigned("deep", _PART * (len(ELLS) - 1 - depth))
         current = large.select(F.xxhash64("key", part).alias("key"), "deep", "node", "size")
         before = large
-        found, large = _met(current)
+        found, large = _met(current, SMALL)
         discard(before)
         pairs.append(found)
     every = cut_lineage(_distinct(pairs), "pairs")
@@ -224,7 +225,7 @@ def _candidates(bands: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     return every, large
 
 
-def _met(bands: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+def _met(bands: DataFrame, few_nodes: int) -> tuple[DataFrame, DataFrame | None]:
     """Candidate pairs of the buckets by `key`, and the rows of large ones with their leader."""
     buckets = bands.groupBy("key").agg(
         F.count(F.lit(1)).alias("members"),
@@ -233,9 +234,10 @@ def _met(bands: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     )
     buckets = cut_lineage(buckets.filter("members > 1"), "buckets")
     met = cut_lineage(bands.join(buckets, "key"), "met")
-    large = cut_lineage(met.filter(F.col("members") > SMALL), "large")
-    few = met.filter(F.col("members") <= SMALL)
-    pairs = cut_lineage(_all_pairs(few).unionAll(_leader_pairs(large)), "pairs")
+    is_large = F.col("members") > few_nodes
+    every = _all_pairs(met.filter(~is_large)).unionAll(_leader_pairs(met.filter(is_large)))
+    pairs = cut_lineage(every, "pairs")
+    large = cut_lineage(met.filter(is_large), "large")
     discard(buckets, met)
     if large.isEmpty():
         discard(large)
@@ -316,7 +318,7 @@ def near_links(signed: DataFrame, nodes: DataFrame) -> DataFrame:
         left = large.filter("node <> leader").join(linked, ["leader", "node"], "left_anti")
         left = cut_lineage(left.select("key", "deep", "node", "size"), "left")
         discard(large)
-        pairs, large = _met(left)
+        pairs, large = _met(left, LEFT)
         distinct = cut_lineage(pairs.distinct(), "pairs")
         links.append(_verified(distinct, signed))
         discard(left, pairs, distinct)
