@@ -37,9 +37,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clusterprep.functions.columns import column
 from clusterprep.llm.arrays import Words, grams, mix, slabs, text_bytes
-from clusterprep.llm.rows import map_arrow, picked, small, with_row
-from clusterprep.session import cut_lineage
+from clusterprep.llm.rows import map_arrow, picked, small, unused, with_row
+from clusterprep.session import cut_lineage, discard, release_shuffles
 
 K = 5
 SIMILARITY = 0.8
@@ -47,31 +48,64 @@ SMALL = 16
 GROWTH = 16
 BUCKETS = 1 << 20  # of the token counts: 4 MB when broadcast
 _BLOCK = 1 << 10
+_COMMON = (1 << 16) - 1  # counts from here on are alike
 
 
 class LineTokens:
-    """Tokens of the lines of a batch of texts, in order of line, then token."""
-
-    def __init__(self, texts: list[str]):
-        split = [text.split("\n") for text in texts]
-        self.counts = [len(lines) for lines in split]
-        self.words = Words(*text_bytes(pa.array([line for lines in split for line in lines], pa.string())))
-        of, hashes = self.words.of, self.words.hash
-        sizes = np.diff(of)
-        line_of = np.repeat(np.arange(len(sizes)), sizes)
-        codes = grams(hashes, K)
+    """Words of a slab's texts by line, and the tokens of the lines.
+
+    Lines are numbered through the slab; `counts` has the lines of each text,
+    `of` the first word of each line (n + 1 values). `line` and `token` list the
+    tokens in text order, repeated ones too.
+    """
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        texts = len(offsets) - 1
+        feeds = np.flatnonzero(data == 10)
+        self.counts = np.diff(np.searchsorted(feeds, offsets)) + 1
+        self.words = words = Words(data, offsets)
+        text_of = np.repeat(np.arange(texts), np.diff(words.of))
+        # Each text starts a line, and so does the byte after each line feed.
+        line_of = np.searchsorted(feeds, words.start) + text_of
+        sizes = np.bincount(line_of, minlength=int(self.counts.sum()))
+        self.of = np.concatenate([[0], np.cumsum(sizes)])
+        codes = grams(words.hash, K)
         inside = np.flatnonzero(line_of[: len(codes)] == line_of[K - 1 :][: len(codes)])
         line, token = [line_of[inside]], [codes[inside]]
         for length in range(1, K):
             short = np.flatnonzero(sizes == length)
-            line.append(short)
-            token.append(grams(hashes, length)[of[short]] if len(short) else np.zeros(0, np.uint64))
-        line, token = np.concatenate(line), np.concatenate(token)
-        by = np.lexsort((token, line))
-        line, token = line[by], token[by]
+            if len(short):
+                line.append(short)
+                token.append(grams(words.hash, length)[self.of[short]])
+        self.line, self.token = np.concatenate(line), np.concatenate(token)
+
+    def ordered(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Line and token of the different tokens by line, the rarest first.
+
+        The order is by count (up to `_COMMON`), then by the token itself.
+        """
+        rare = np.minimum(counts[_bucket(self.token)], _COMMON).astype(np.uint64)
+        line = self.line.astype(np.uint64)
+        high = self.token >> np.uint64(32)
+        if len(self.counts) and int(self.counts.sum()) < 1 << 16:
+            # Line, count and the upper half of the token in one number: a fast sort.
+            key = (line << np.uint64(48)) | (rare << np.uint64(32)) | high
+            by = np.argsort(key)
+            key, token = key[by], self.token[by]
+            if not ((key[1:] == key[:-1]) & (token[1:] != token[:-1])).any():
+                return self._different(by)
+        return self._different(np.lexsort((self.token, rare, line)))
+
+    def _different(self, by: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        line, token = self.line[by], self.token[by]
         new = np.ones(len(by), bool)
         new[1:] = (line[1:] != line[:-1]) | (token[1:] != token[:-1])
-        self.line, self.token = line[new], token[new]
+        return line[new], token[new]
+
+
+def _whole(share):
+    """The whole number of tokens that a share means, safe from rounding up too far."""
+    return np.ceil(share - 1e-9).astype(np.int64)
 
 
 def _bucket(tokens: np.ndarray) -> np.ndarray:
@@ -79,14 +113,13 @@ def _bucket(tokens: np.ndarray) -> np.ndarray:
 
 
 def token_counts(rows: DataFrame) -> np.ndarray:
-    """How many lines have a token of each bucket: BUCKETS numbers, summed in Spark."""
+    """How often lines have a token of each bucket: BUCKETS numbers, summed in Spark."""
 
     def count(batches):
         counts = np.zeros(BUCKETS, np.int64)
         for slab in slabs(batches, "text"):
-            found = LineTokens([t or "" for t in slab.column("text").to_pylist()])
-            bucket, times = np.unique(_bucket(found.token), return_counts=True)
-            counts[bucket] += times
+            found = LineTokens(*text_bytes(slab.column("text")))
+            np.add.at(counts, _bucket(found.token), 1)
         parts = counts.reshape(-1, _BLOCK)
         filled = np.flatnonzero(parts.any(axis=1))
         yield pa.RecordBatch.from_arrays(
@@ -114,12 +147,10 @@ def _lines(rows: DataFrame, counts: np.ndarray) -> DataFrame:
     def run(batches) -> Iterator[pa.RecordBatch]:
         lid = TaskContext.get().partitionId() << 40
         for slab in slabs(batches, "text"):
-            found = LineTokens([t or "" for t in slab.column("text").to_pylist()])
+            found = LineTokens(*text_bytes(slab.column("text")))
             text = np.repeat(np.arange(slab.num_rows), found.counts)
             number = np.arange(len(text)) - np.repeat(np.cumsum(found.counts) - found.counts, found.counts)
-            rare = shared.value[_bucket(found.token)]
-            by = np.lexsort((found.token, rare, found.line))
-            line, token = found.line[by], found.token[by]
+            line, token = found.ordered(shared.value)
             begin = np.flatnonzero(np.diff(line, prepend=-1))
             size = np.diff(np.append(begin, len(line)))
             own = line[begin]
@@ -128,25 +159,34 @@ def _lines(rows: DataFrame, counts: np.ndarray) -> DataFrame:
                 b = np.add.reduceat(mix(token ^ np.uint64(0x5851F42D4C957F2D)), begin).view(np.int64)
             else:
                 a = b = np.zeros(0, np.int64)
-            probe = size - np.ceil(SIMILARITY * size - 1e-9).astype(np.int64) + 1
-            prefix = [token[s : s + n].view(np.int64) for s, n in zip(begin.tolist(), probe.tolist())]
+            probe = size - _whole(SIMILARITY * size) + 1
+            at = np.repeat(begin - (np.cumsum(probe) - probe), probe) + np.arange(probe.sum())
+            ends = np.concatenate([[0], np.cumsum(probe), np.full(slab.num_rows, probe.sum())])
+            prefix = pa.ListArray.from_arrays(
+                pa.array(ends, pa.int32()), pa.array(token[at].view(np.int64))
+            )
             short = (found.words.hash >> np.uint64(32)).astype(np.uint32)
-            of = found.words.of
-            words = [short[of[n] : of[n + 1]].tobytes() for n in own.tolist()]
+            # Every word is in a line of `own`, so the lines' words follow each other.
+            borders = np.concatenate([found.of[own], np.full(slab.num_rows + 1, len(short))]) * 4
+            words = pa.Array.from_buffers(
+                pa.binary(),
+                len(own) + slab.num_rows,
+                [None, pa.py_buffer(borders.astype(np.int32)), pa.py_buffer(short)],
+            )
             texts = np.arange(slab.num_rows)
             where = pa.array(np.concatenate([text[own], texts]))
-            none = [0] * slab.num_rows
+            none = np.zeros(slab.num_rows, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(lid, lid + len(where))),
                     slab.column("row").take(where),
                     slab.column("doc_id").take(where),
                     pa.array(np.concatenate([number[own], np.full(slab.num_rows, -1)]), pa.int32()),
-                    pa.array([*a.tolist(), *none], pa.int64()),
-                    pa.array([*b.tolist(), *none], pa.int64()),
-                    pa.array([*size.tolist(), *found.counts], pa.int32()),
-                    pa.array([*prefix, *[[]] * slab.num_rows], pa.list_(pa.int64())),
-                    pa.array([*words, *[b""] * slab.num_rows], pa.binary()),
+                    pa.array(np.concatenate([a, none])),
+                    pa.array(np.concatenate([b, none])),
+                    pa.array(np.concatenate([size, found.counts]), pa.int32()),
+                    prefix,
+                    words,
                 ],
                 names,
             )
@@ -169,7 +209,7 @@ def _lines(rows: DataFrame, counts: np.ndarray) -> DataFrame:
 
 
 def _tokens_needed(part: float, size: Column) -> Column:
-    """The whole number of tokens that a share means, safe from rounding up too far."""
+    """`_whole` as a column."""
     return F.ceil(part * size - 1e-9)
 
 
@@ -198,7 +238,8 @@ def _pairs(x: DataFrame, y: DataFrame) -> DataFrame:
 
 def _matches(pairs: DataFrame, lines: DataFrame, sets: DataFrame) -> DataFrame:
     """(gone, by): the later and the earlier line of each pair that matches."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node")))
+    nodes = ends.distinct()
     nodes = sets.select("node", "first").join(nodes, "node")
     words = lines.select(F.col("lid").alias("node"), "words").join(small(nodes), "node")
     words = cut_lineage(words, "words")
@@ -219,7 +260,9 @@ def _matches(pairs: DataFrame, lines: DataFrame, sets: DataFrame) -> DataFrame:
             ]
             yield batch.select(["gone", "by"]).filter(pa.array(equal, pa.bool_()))
 
-    return map_arrow(joined, run, "gone long, by long")
+    matched = cut_lineage(map_arrow(joined, run, "gone long, by long"), "matches")
+    discard(words)
+    return matched
 
 
 def _set(words: pa.Scalar) -> np.ndarray:
@@ -235,15 +278,16 @@ def jaccard(left: np.ndarray, right: np.ndarray) -> float:
 
 def later_matches(lines: DataFrame, sets: DataFrame) -> DataFrame:
     """(gone, by) for every node that an earlier one matches, perhaps several times."""
-    own = sets.select(F.col("node").alias("lid"))
-    kept = lines.select("lid", "size", "prefix").join(own.hint("merge"), "lid")
-    posted = kept.select(F.col("lid").alias("node"), "size", F.posexplode("prefix").alias("place", "token"))
+    posted = sets.select("node", "size", F.posexplode("prefix").alias("place", "token"))
     several = posted.groupBy("token").agg(F.count(F.lit(1)).alias("members"))
     several = cut_lineage(several.filter("members > 1"), "several")
+    release_shuffles(lines.sparkSession)
     met = cut_lineage(posted.join(several, "token"), "met")
+    release_shuffles(lines.sparkSession)
     few = met.filter(F.col("members") <= SMALL)
     pairs = cut_lineage(_pairs(few, few), "pairs")
-    found = [cut_lineage(_matches(pairs, lines, sets), "matches")]
+    found = [_matches(pairs, lines, sets)]
+    discard(several, pairs)
     large = met.filter(F.col("members") > SMALL)
     if not large.isEmpty():
         found += _large_matches(cut_lineage(large, "large"), lines, sets)
@@ -266,7 +310,8 @@ def _large_matches(large: DataFrame, lines: DataFrame, sets: DataFrame) -> list[
     block = F.floor(F.log(float(GROWTH), F.greatest(drawn * F.col("members"), F.lit(1.0))))
     large = cut_lineage(large.withColumn("block", block), "large")
     pairs = cut_lineage(_pairs(leaders, large), "pairs")
-    found = [cut_lineage(_matches(pairs, lines, sets), "matches")]
+    found = [_matches(pairs, lines, sets)]
+    discard(leaders, pairs)
     waiting, number = large, 0
     while GROWTH**number <= most:
         gone = found[-1].select(F.col("gone").alias("node")).distinct()
@@ -274,7 +319,8 @@ def _large_matches(large: DataFrame, lines: DataFrame, sets: DataFrame) -> list[
         if waiting.isEmpty():
             break
         pairs = cut_lineage(_pairs(large.filter(F.col("block") == number), waiting), "pairs")
-        found.append(cut_lineage(_matches(pairs, lines, sets), "matches"))
+        found.append(_matches(pairs, lines, sets))
+        discard(pairs)
         number += 1
     return found
 
@@ -291,8 +337,10 @@ def repeated_lines(
     every = cut_lineage(_lines(rows, token_counts(rows)), "lines")
     lines = every.filter("line >= 0")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "line")
-    sets = lines.groupBy("a", "b").agg(F.min(F.struct(place.alias("first"), "lid")).alias("m"))
-    sets = cut_lineage(sets.select("a", "b", "m.first", F.col("m.lid").alias("node")), "sets")
+    # What all lines of a set share rides along with the first of them.
+    first = F.min(F.struct(place.alias("first"), F.col("lid").alias("node"), "size", "prefix"))
+    sets = cut_lineage(lines.groupBy("a", "b").agg(first.alias("m")).select("a", "b", "m.*"), "sets")
+    release_shuffles(docs.sparkSession)
     gone = later_matches(lines, sets).select(F.col("gone").alias("node")).distinct()
     judged = sets.select("a", "b", "node").join(gone.withColumn("gone", F.lit(True)), "node", "left")
     judged = cut_lineage(judged, "judged")
@@ -312,11 +360,11 @@ def repeated_lines(
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` without the repeated lines; texts that lose none, null ones too, stay as they are."""
     rows, row = with_row(docs)
+    gone = unused(rows, "_gone")
     found = repeated_lines(rows, id_col, text_col, row).filter(F.size("removed") > 0)
-    dropped = found.select(F.col("row").alias(row), F.col("removed").alias("_removed_lines"))
-    text = F.col(f"`{text_col}`")
-    kept = F.filter(
-        F.split(text, "\n", -1), lambda line, n: ~F.array_contains(F.col("_removed_lines"), n)
-    )
-    clean = F.when(F.col("_removed_lines").isNull(), text).otherwise(F.array_join(kept, "\n"))
-    return rows.join(dropped, row, "left").withColumn(text_col, clean).select(*docs.columns)
+    dropped = found.select(F.col("row").alias(row), F.col("removed").alias(gone))
+    text = column(text_col)
+    kept = F.filter(F.split(text, "\n", -1), lambda line, n: ~F.array_contains(F.col(gone), n))
+    clean = F.when(F.col(gone).isNull(), text).otherwise(F.array_join(kept, "\n"))
+    kept_columns = [clean.alias(c) if c == text_col else column(c) for c in docs.columns]
+    return rows.join(dropped, row, "left").select(*kept_columns)
