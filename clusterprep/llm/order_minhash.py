@@ -13,13 +13,15 @@ that a similarity of `SIMILARITY` allows. Similarity is matched / (all -
 matched); links have `SIMILARITY` or more. Classes are the connected components
 of the links.
 
-Texts of equal words are one node throughout. In a bucket of at most `SMALL`
-nodes all pairs are candidates. In a larger one each node is paired with one
-leader (the node of most copies), and the bucket is split by a larger sample
-of the same hash function, again and again up to `ELLS[-1]` k-mers; in buckets
-still large then, nodes that don't match their leader elect the next one until
-so few (`LEFT`) are left that all pairs are taken. So the pairs grow with the nodes, never with the square of a
-bucket, and no candidate is dropped. Two texts of similarity 0.8 share an
+Texts of equal words are one node throughout. All pairs of a bucket of similar
+size are candidates, and every candidate is verified, so `n_links` counts all
+links that the samples find. Buckets of at most `SMALL` nodes give pairs as rows.
+A larger bucket is dealt into blocks of about `BLOCK` nodes or `BLOCK_KMERS`
+k-mers; each two of its blocks are one row, in which a task compares all their
+nodes, and only counts of links and a tree of each linked group leave it. Nodes
+that meet in several large buckets are compared in the one of the least key. So
+no task gets a whole bucket and no table grows with the square of its nodes; the
+comparisons do, as each link is counted. Two texts of similarity 0.8 share an
 ordered sample of 4 with a chance of about 0.41 per band: all 24 bands miss
 them once in 300,000 cases.
 
@@ -50,7 +52,8 @@ BANDS = 24
 ELLS = (4, 7, 12, 20)
 SIMILARITY = 0.8
 SMALL = 32
-LEFT = 256
+BLOCK = 256
+BLOCK_KMERS = 1 << 17
 _PART = 64 // (len(ELLS) - 1)  # bits kept of each larger sample
 _WIDE = 1 << 18  # hash values held at a time
 
@@ -119,17 +122,19 @@ def alignment(left: np.ndarray, right: np.ndarray) -> float:
     places = places[near]
     matched = len(places)
     if matched / (total - matched) >= SIMILARITY and (np.diff(places) <= 0).any():
-        tails: list[int] = []  # least end of an increasing run of each length
-        for place in places.tolist():
-            n = bisect_left(tails, place)
-            if n == len(tails):
-                tails.append(place)
-            else:
-                tails[n] = place
-        matched = len(tails)
+        matched = _increasing(places)
     return matched / (total - matched)
 
 
+def _increasing(places: np.ndarray) -> int:
+    """Length of the longest increasing subsequence."""
+    tails: list[int] = []  # least end of an increasing run of each length
+    for place in places.tolist():
+        n = bisect_left(tails, place)
+        tails[n : n + 1] = [place]
+    return len(tails)
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """Of (row, doc_id, text) rows: row, doc_id, same, size, bands (key, deep), words.
 
@@ -207,49 +212,35 @@ def _similar_size(left: str, right: str):
     return F.least(left, right) >= SIMILARITY * F.greatest(left, right)
 
 
-def _candidates(bands: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Pairs (a, b) of candidate nodes, and the (key, node, size) rows of buckets that stay large."""
-    found, large = _met(bands, SMALL)
-    pairs = [found]
-    for depth in range(1, len(ELLS)):
-        if large is None:
-            break
-        part = F.shiftrightunsigned("deep", _PART * (len(ELLS) - 1 - depth))
-        current = large.select(F.xxhash64("key", part).alias("key"), "deep", "node", "size")
-        before = large
-        found, large = _met(current, SMALL)
-        discard(before)
-        pairs.append(found)
-    every = cut_lineage(_distinct(pairs), "pairs")
-    discard(*pairs)
-    return every, large
-
-
-def _met(bands: DataFrame, few_nodes: int) -> tuple[DataFrame, DataFrame | None]:
-    """Candidate pairs of the buckets by `key`, and the rows of large ones with their leader."""
+def _met(bands: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Candidate pairs of the small buckets, and the nodes of large ones with their buckets.
+
+    Of a large bucket its key and its number of blocks are given. Pairs that also
+    share a large bucket are left to it.
+    """
     buckets = bands.groupBy("key").agg(
-        F.count(F.lit(1)).alias("members"),
-        F.min("node").alias("leader"),
-        F.min_by("size", "node").alias("leader_size"),
+        F.count(F.lit(1)).alias("members"), F.sum("size").alias("kmers")
     )
     buckets = cut_lineage(buckets.filter("members > 1"), "buckets")
     met = cut_lineage(bands.join(buckets, "key"), "met")
-    is_large = F.col("members") > few_nodes
-    every = _all_pairs(met.filter(~is_large)).unionAll(_leader_pairs(met.filter(is_large)))
-    pairs = cut_lineage(every, "pairs")
-    large = cut_lineage(met.filter(is_large), "large")
+    is_large = F.col("members") > SMALL
+    pairs = cut_lineage(_all_pairs(met.filter(~is_large)).distinct(), "pairs")
+    blocks = F.ceil(F.greatest(F.col("members") / BLOCK, F.col("kmers") / BLOCK_KMERS))
+    buckets_of = F.array_sort(F.collect_list(F.struct("key", blocks.alias("blocks"))))
+    large = met.filter(is_large).groupBy("node").agg(buckets_of.alias("buckets"))
+    large = cut_lineage(large, "large")
     discard(buckets, met)
     if large.isEmpty():
         discard(large)
-        large = None
-    return pairs, large
-
-
-def _distinct(pairs: list[DataFrame]) -> DataFrame:
-    every = pairs[0]
-    for more in pairs[1:]:
-        every = every.unionAll(more)
-    return every.distinct()
+        return pairs, None
+    keys = large.select("node", F.col("buckets.key").alias("keys"))
+    left = keys.select(F.col("node").alias("a"), F.col("keys").alias("left"))
+    right = keys.select(F.col("node").alias("b"), F.col("keys").alias("right"))
+    both = pairs.join(left, "a", "left").join(right, "b", "left")
+    rest = both.filter(~F.coalesce(F.arrays_overlap("left", "right"), F.lit(False)))
+    rest = cut_lineage(rest.select("a", "b"), "pairs")
+    discard(pairs)
+    return rest, large
 
 
 def _all_pairs(few: DataFrame) -> DataFrame:
@@ -261,11 +252,6 @@ def _all_pairs(few: DataFrame) -> DataFrame:
     return pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
-def _leader_pairs(large: DataFrame) -> DataFrame:
-    pairs = large.filter("node <> leader").filter(_similar_size("size", "leader_size"))
-    return pairs.select(F.col("leader").alias("a"), F.col("node").alias("b"))
-
-
 def _verified(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     """The pairs whose texts align with SIMILARITY or more."""
     ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node")))
@@ -300,31 +286,166 @@ def _verified(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     return linked
 
 
+class _Block:
+    """Nodes of a block with their k-mers as numbers, and the keys of their large buckets."""
+
+    def __init__(self, members: pa.StructArray, kmers: list[np.ndarray], codes: np.ndarray):
+        self.node = members.field("node").to_numpy()
+        self.sizes = np.array([len(k) for k in kmers])
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
+        self.codes = codes
+        keys = members.field("keys")
+        self.keys = keys.flatten().to_numpy()
+        self.of = np.repeat(np.arange(len(self.node)), keys.value_lengths().to_numpy())
+
+
+def _blocks(members: list[pa.StructArray]) -> tuple[list[_Block], int]:
+    """The blocks, and how many different k-mers they have."""
+    kmers = [
+        [labelled_kmers(np.frombuffer(raw.as_buffer(), np.uint32)) for raw in block.field("words")]
+        for block in members
+    ]
+    every, codes = np.unique(np.concatenate([k for own in kmers for k in own]), return_inverse=True)
+    parts = np.split(codes, np.cumsum([sum(map(len, own)) for own in kmers])[:-1])
+    return [_Block(*three) for three in zip(members, kmers, parts)], len(every)
+
+
+def _block_links(key: int, members: list[pa.StructArray]) -> tuple[np.ndarray, np.ndarray]:
+    """Linked nodes (a, b) of two blocks, or of one, of the bucket `key`.
+
+    Pairs that share a large bucket of a smaller key are left to that one.
+    """
+    blocks, different = _blocks(members)
+    left, right = blocks[0], blocks[-1]
+    place = np.full(different, -1)
+    smaller = right.keys < key
+    theirs, owner = right.keys[smaller], right.of[smaller]
+    found = [], []
+    for n, node in enumerate(left.node):
+        size = left.sizes[n]
+        possible = np.minimum(size, right.sizes) >= SIMILARITY * np.maximum(size, right.sizes)
+        if left is right:
+            possible[: n + 1] = False
+        possible[owner[np.isin(theirs, left.keys[left.of == n])]] = False
+        others = np.flatnonzero(possible)
+        if not len(others):
+            continue
+        own = left.codes[left.starts[n] : left.starts[n + 1]]
+        place[own] = np.arange(size)
+        linked = others[_aligned(place, size, right, others)]
+        place[own] = -1
+        found[0].append(np.full(len(linked), node))
+        found[1].append(right.node[linked])
+    if not found[0]:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(found[0]), np.concatenate(found[1])
+
+
+def _aligned(place: np.ndarray, size: int, block: _Block, others: np.ndarray) -> np.ndarray:
+    """Which of a block's nodes reach SIMILARITY by `alignment` with a text of k-mers at `place`."""
+    sizes = block.sizes[others]
+    first = np.cumsum(sizes) - sizes
+    of = np.repeat(np.arange(len(others)), sizes)
+    own = np.arange(len(of)) - first[of]
+    places = place[block.codes[block.starts[others][of] + own]]
+    total = size + sizes
+    band = (1 - SIMILARITY) / (1 + SIMILARITY) * total
+    near = np.flatnonzero((places >= 0) & (np.abs(places - own) <= band[of]))
+    places, of = places[near], of[near]
+    matched = np.bincount(of, minlength=len(others))
+    linked = matched / (total - matched) >= SIMILARITY
+    falls = (np.diff(places) <= 0) & (of[1:] == of[:-1])
+    for n in np.unique(of[1:][falls]):
+        if linked[n]:
+            most = _increasing(places[np.searchsorted(of, n) : np.searchsorted(of, n + 1)])
+            linked[n] = most / (total[n] - most) >= SIMILARITY
+    return linked
+
+
+class _Groups:
+    """Links counted by node, and joined to groups."""
+
+    def __init__(self):
+        self.links: dict[int, int] = {}
+        self.root: dict[int, int] = {}
+
+    def top(self, node: int) -> int:
+        root = self.root
+        while root[node] != node:
+            root[node] = node = root[root[node]]
+        return node
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        nodes, counts = np.unique(np.concatenate([a, b]), return_counts=True)
+        for node, count in zip(nodes.tolist(), counts.tolist()):
+            self.links[node] = self.links.get(node, 0) + count
+            self.root.setdefault(node, node)
+        for x, y in zip(a.tolist(), b.tolist()):
+            x, y = self.top(x), self.top(y)
+            if x != y:
+                self.root[max(x, y)] = min(x, y)
+
+    def batch(self) -> pa.RecordBatch:
+        """Each linked node, the least one of its group, and its links; then starts anew."""
+        nodes = list(self.links)
+        columns = nodes, [self.top(n) for n in nodes], list(self.links.values())
+        self.__init__()
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "n"])
+
+
+def _large_links(large: DataFrame, signed: DataFrame) -> DataFrame:
+    """(a, b, n) of the pairs that share a large bucket: a node, one of its group, some of its links."""
+    rows = large.withColumn("row", _row_of("node"))
+    wide = signed.select("row", "words").join(rows, "row")
+    member = F.struct("node", F.col("buckets.key").alias("keys"), "words")
+    wide = wide.select("node", member.alias("member"), F.explode("buckets").alias("bucket"))
+    wide = wide.select("node", "member", "bucket.key", "bucket.blocks")
+    wide = wide.withColumn("block", F.pmod(F.xxhash64("key", "node"), F.col("blocks")))
+    blocks = wide.groupBy("key", "block", "blocks").agg(F.collect_list("member").alias("members"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
+    ends = blocks.select("key", "block", "members", other)
+    twos = ends.groupBy(
+        "key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")
+    ).agg(F.collect_list("members").alias("blocks"))
+    # A block without nodes leaves the other one alone in its row.
+    whole = (F.size("blocks") == 2) | (F.col("x") == F.col("y"))
+
+    def run(batches):
+        groups = _Groups()
+        for batch in batches:
+            for key, two in zip(batch.column("key").to_pylist(), batch.column("blocks")):
+                groups.add(*_block_links(key, [two.values[n].values for n in range(len(two))]))
+                if len(groups.links) > _WIDE:
+                    yield groups.batch()
+        yield groups.batch()
+
+    linked = map_arrow(twos.filter(whole).select("key", "blocks"), run, "a long, b long, n long")
+    return cut_lineage(linked, "links")
+
+
 def near_links(signed: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Links (a, b) between nodes of similarity SIMILARITY or more."""
+    """Links between nodes of similarity SIMILARITY or more, as rows (a, b, n).
+
+    The components of (a, b) are those of the links, and each link adds 1 to the
+    sum of n of both its nodes; a row with b = a only adds to that sum.
+    """
     least = nodes.select("node", _row_of("node").alias("row"))
     # As many rows on both sides as there are texts: never a broadcast.
     sampled = signed.select("row", "size", "bands").filter("size > 0").join(least.hint("merge"), "row")
     sampled = cut_lineage(sampled.select("node", "size", "bands"), "sampled")
     bands = sampled.select("node", "size", F.explode("bands").alias("band"))
-    bands = bands.select("band.key", "band.deep", "node", "size")
-    pairs, large = _candidates(bands)
+    bands = bands.select("band.key", "node", "size")
+    pairs, large = _met(bands)
     discard(sampled)
-    links = [_verified(pairs, signed)]
+    links = _verified(pairs, signed)
     discard(pairs)
-    while large is not None:
-        # Nodes that don't match their leader elect another one.
-        linked = links[-1].select(F.col("a").alias("leader"), F.col("b").alias("node"))
-        left = large.filter("node <> leader").join(linked, ["leader", "node"], "left_anti")
-        left = cut_lineage(left.select("key", "deep", "node", "size"), "left")
-        discard(large)
-        pairs, large = _met(left, LEFT)
-        distinct = cut_lineage(pairs.distinct(), "pairs")
-        links.append(_verified(distinct, signed))
-        discard(left, pairs, distinct)
-    every = cut_lineage(_distinct(links), "links")
-    discard(*links)
-    return every
+    one = F.lit(1).cast("long").alias("n")
+    every = links.select("a", "b", one).unionAll(
+        links.select(F.col("b").alias("a"), F.col("b"), one)
+    )
+    if large is None:
+        return every
+    return every.unionAll(_large_links(large, signed))
 
 
 def near_classes(
@@ -342,8 +463,7 @@ def near_classes(
     signed = cut_lineage(signatures(rows.select("row", "doc_id", "text")), "signatures")
     nodes = cut_lineage(_nodes(signed), "nodes")
     links = near_links(signed, nodes)
-    ends = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node")))
-    degree = ends.groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
+    degree = links.groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("n_links"))
     labelled = (
         nodes.join(components(links), "node", "left")
         .join(degree, "node", "left")

@@ -137,3 +137,25 @@ def test_components(spark):
     nodes = {n for e in edges for n in e}
     found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {n: top(n) for n in nodes if top(n) != n}
+
+
+def links(texts):
+    found = [kmers(t) for t in texts]
+    counts = [0] * len(texts)
+    for i in range(len(texts)):
+        for j in range(i):
+            if texts[i] != texts[j] and similarity(found[i], found[j]) >= order_minhash.SIMILARITY:
+                counts[i] += 1
+                counts[j] += 1
+    return counts
+
+
+def test_links_of_a_large_family_are_all_counted(spark, monkeypatch):
+    """Variants whose similarities lie around 0.8 share few of the larger samples."""
+    monkeypatch.setattr(order_minhash, "SMALL", 2)
+    monkeypatch.setattr(order_minhash, "BLOCK", 8)
+    rng = random.Random(11)
+    base = " ".join(f"w{rng.randrange(400)}" for _ in range(200))
+    texts = list(dict.fromkeys(variants(rng, base, 60, 4)))
+    found = by_id(order_minhash.near_classes(docs(spark, texts)), "class_id", "n_links")
+    assert [found[i] for i in range(len(texts))] == list(zip(classes(texts), links(texts)))
