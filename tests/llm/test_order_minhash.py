@@ -159,3 +159,17 @@ def test_links_of_a_large_family_are_all_counted(spark, monkeypatch):
     texts = list(dict.fromkeys(variants(rng, base, 60, 4)))
     found = by_id(order_minhash.near_classes(docs(spark, texts)), "class_id", "n_links")
     assert [found[i] for i in range(len(texts))] == list(zip(classes(texts), links(texts)))
+
+
+def test_nodes_linked_to_a_leader_still_meet_the_others(spark, monkeypatch):
+    """Most texts are linked to one text only, which is linked to the text of most copies."""
+    monkeypatch.setattr(order_minhash, "SMALL", 2)
+    monkeypatch.setattr(order_minhash, "LEFT", 2, raising=False)
+    base = " ".join(f"w{i}" for i in range(200))
+
+    def tail(name, count):
+        return base + "".join(f" {name}x{i}" for i in range(count))
+
+    texts = [tail("edge", 20)] * 3 + [tail("middle", 5)] + [tail(f"own{n}", 40) for n in range(30)]
+    found = by_id(order_minhash.near_classes(docs(spark, texts)), "class_id", "n_links")
+    assert [found[i] for i in range(len(texts))] == [(0, 1)] * 3 + [(0, 31)] + [(0, 1)] * 30
