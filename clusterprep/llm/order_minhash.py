@@ -2,7 +2,7 @@
 
 The k-mers of a text are its runs of `K` words (all its words, if it has
 fewer), labelled with their occurrence number, so that repeats count. Each of
-`BANDS` hash functions samples the `ELLS[0]` labelled k-mers of least hash and
+`BANDS` hash functions samples the `ELL` labelled k-mers of least hash and
 keeps them in their text order; texts with the same ordered sample are
 candidates. Order matters, so moved blocks lower the chance to meet, as they
 lower the edit similarity.
@@ -49,12 +49,11 @@ from clusterprep.session import cut_lineage, discard
 
 K = 5
 BANDS = 24
-ELLS = (4, 7, 12, 20)
+ELL = 4
 SIMILARITY = 0.8
 SMALL = 32
 BLOCK = 256
 BLOCK_KMERS = 1 << 17
-_PART = 64 // (len(ELLS) - 1)  # bits kept of each larger sample
 _WIDE = 1 << 18  # hash values held at a time
 
 _SEEDS = mix(np.arange(1, BANDS + 1, dtype=np.uint64))
@@ -77,11 +76,11 @@ def labelled_kmers(words: np.ndarray) -> np.ndarray:
     return codes
 
 
-def ordered_samples(kmers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each band a 64-bit key of the smallest sample, and a few bits for each larger one."""
-    most = min(ELLS[-1], len(kmers))
+def ordered_samples(kmers: np.ndarray) -> np.ndarray:
+    """For each band a 64-bit key of the sample."""
+    most = min(ELL, len(kmers))
     together = max(1, _WIDE // len(kmers))
-    picks, values = [], []
+    picks = []
     for start in range(0, BANDS, together):
         hashed = (kmers[None, :] ^ _SEEDS[start : start + together, None]) * _ODD[start : start + together, None]
         if most < len(kmers):
@@ -89,21 +88,11 @@ def ordered_samples(kmers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         else:
             at = np.broadcast_to(np.arange(most), hashed.shape)
         picks.append(at)
-        values.append(np.take_along_axis(hashed, at, axis=1))
-    places, hashed = np.concatenate(picks), np.concatenate(values)
-    places = np.take_along_axis(places, np.argsort(hashed, axis=1), axis=1)
-    keys, deep = None, np.zeros(BANDS, np.uint64)
-    for ell in ELLS:
-        ordered = kmers[np.sort(places[:, :ell], axis=1)]
-        code = _SEEDS.copy()
-        for column in ordered.T:
-            code = code * np.uint64(0xD1342543DE82EF95) + column
-        code = mix(code)
-        if keys is None:
-            keys = code
-        else:
-            deep = (deep << np.uint64(_PART)) | (code >> np.uint64(64 - _PART))
-    return keys.view(np.int64), deep.view(np.int64)
+    ordered = kmers[np.sort(np.concatenate(picks), axis=1)]
+    code = _SEEDS.copy()
+    for column in ordered.T:
+        code = code * np.uint64(0xD1342543DE82EF95) + column
+    return mix(code).view(np.int64)
 
 
 def alignment(left: np.ndarray, right: np.ndarray) -> float:
@@ -136,7 +125,7 @@ def _increasing(places: np.ndarray) -> int:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """Of (row, doc_id, text) rows: row, doc_id, same, size, bands (key, deep), words.
+    """Of (row, doc_id, text) rows: row, doc_id, same, size, keys, words.
 
     `same` is equal for texts of equal words, `size` the number of k-mers.
     """
@@ -144,44 +133,41 @@ def signatures(docs: DataFrame) -> DataFrame:
     def run(batches):
         for slab in slabs(batches, "text"):
             words = Words(*text_bytes(slab.column("text")))
-            same, sizes, bands, kept = [], [], [], []
+            same, sizes, keys, kept = [], [], [], []
             rows = slab.column("row").to_pylist()
             for n in range(slab.num_rows):
                 own = words.hash[words.of[n] : words.of[n + 1]]
                 if not len(own):
                     same.append(b"row" + int(rows[n]).to_bytes(13, "little"))
                     sizes.append(0)
-                    bands.append([])
+                    keys.append([])
                     kept.append(b"")
                     continue
                 short = (own >> np.uint64(32)).astype(np.uint32)
                 kmers = labelled_kmers(short)
-                keys, deep = ordered_samples(kmers)
                 same.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
                 sizes.append(len(kmers))
-                bands.append([{"key": k, "deep": d} for k, d in zip(keys.tolist(), deep.tolist())])
+                keys.append(ordered_samples(kmers))
                 kept.append(short.tobytes())
-            kind = pa.list_(pa.struct([("key", pa.int64()), ("deep", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
                 [
                     slab.column("row"),
                     slab.column("doc_id"),
                     pa.array(same, pa.binary()),
                     pa.array(sizes, pa.int32()),
-                    pa.array(bands, kind),
+                    pa.array(keys, pa.list_(pa.int64())),
                     pa.array(kept, pa.binary()),
                 ],
-                ["row", "doc_id", "same", "size", "bands", "words"],
+                ["row", "doc_id", "same", "size", "keys", "words"],
             )
 
-    band = T.StructType([T.StructField("key", T.LongType()), T.StructField("deep", T.LongType())])
     schema = T.StructType(
         [
             T.StructField("row", T.LongType()),
             docs.schema["doc_id"],
             T.StructField("same", T.BinaryType()),
             T.StructField("size", T.IntegerType()),
-            T.StructField("bands", T.ArrayType(band)),
+            T.StructField("keys", T.ArrayType(T.LongType())),
             T.StructField("words", T.BinaryType()),
         ]
     )
@@ -212,17 +198,17 @@ def _similar_size(left: str, right: str):
     return F.least(left, right) >= SIMILARITY * F.greatest(left, right)
 
 
-def _met(bands: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+def _met(keyed: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """Candidate pairs of the small buckets, and the nodes of large ones with their buckets.
 
     Of a large bucket its key and its number of blocks are given. Pairs that also
     share a large bucket are left to it.
     """
-    buckets = bands.groupBy("key").agg(
+    buckets = keyed.groupBy("key").agg(
         F.count(F.lit(1)).alias("members"), F.sum("size").alias("kmers")
     )
     buckets = cut_lineage(buckets.filter("members > 1"), "buckets")
-    met = cut_lineage(bands.join(buckets, "key"), "met")
+    met = cut_lineage(keyed.join(buckets, "key"), "met")
     is_large = F.col("members") > SMALL
     pairs = cut_lineage(_all_pairs(met.filter(~is_large)).distinct(), "pairs")
     blocks = F.ceil(F.greatest(F.col("members") / BLOCK, F.col("kmers") / BLOCK_KMERS))
@@ -431,11 +417,9 @@ def near_links(signed: DataFrame, nodes: DataFrame) -> DataFrame:
     """
     least = nodes.select("node", _row_of("node").alias("row"))
     # As many rows on both sides as there are texts: never a broadcast.
-    sampled = signed.select("row", "size", "bands").filter("size > 0").join(least.hint("merge"), "row")
-    sampled = cut_lineage(sampled.select("node", "size", "bands"), "sampled")
-    bands = sampled.select("node", "size", F.explode("bands").alias("band"))
-    bands = bands.select("band.key", "node", "size")
-    pairs, large = _met(bands)
+    sampled = signed.select("row", "size", "keys").filter("size > 0").join(least.hint("merge"), "row")
+    sampled = cut_lineage(sampled.select("node", "size", "keys"), "sampled")
+    pairs, large = _met(sampled.select("node", "size", F.explode("keys").alias("key")))
     discard(sampled)
     links = _verified(pairs, signed)
     discard(pairs)
