@@ -173,3 +173,13 @@ def test_nodes_linked_to_a_leader_still_meet_the_others(spark, monkeypatch):
     texts = [tail("edge", 20)] * 3 + [tail("middle", 5)] + [tail(f"own{n}", 40) for n in range(30)]
     found = by_id(order_minhash.near_classes(docs(spark, texts)), "class_id", "n_links")
     assert [found[i] for i in range(len(texts))] == [(0, 1)] * 3 + [(0, 31)] + [(0, 1)] * 30
+
+
+def test_short_texts_meet_exactly(spark):
+    """Of 1,500 pairs that share 4 of 5 k-mers, samples alone miss about 7."""
+    texts = []
+    for n in range(1500):
+        text = " ".join(f"w{n}x{i}" for i in range(8))
+        texts += [text, text + " more"]
+    found = by_id(order_minhash.near_classes(docs(spark, texts)), "class_id", "n_links")
+    assert [found[i] for i in range(len(texts))] == [(i // 2 * 2, 1) for i in range(len(texts))]
