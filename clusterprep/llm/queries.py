@@ -15,6 +15,7 @@ from clusterprep.llm import (
     line_dedup,
     order_minhash,
     packing,
+    pieces,
     pii,
     quality,
     winnowing,
@@ -25,6 +26,7 @@ from clusterprep.llm.tokens import default_path
 
 WORDS = "word_bpe_49k.json"  # vocabulary file of the packing query
 RANKS = "byte_bpe_50k.tiktoken"  # vocabulary file of the id matrices
+PIECES = "piece_bpe_32k.model"  # model file of the SentencePiece query
 GOOD = 0.7  # least score of a good document
 
 
@@ -130,6 +132,17 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bwt_dedup.remove_repeats(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = default_path(PIECES)
+    encoded = pieces.encode_pieces(_table(spark, sf_dir, "documents"), path)
+    return pieces.decode_pieces(encoded, path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # imports this module
 
@@ -148,6 +161,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_language_id": op9_language_id,
         "op10_suffix_dedup": op10_suffix_dedup,
+        "op13_sentencepiece": op13_sentencepiece,
         "pipeline": pipeline,
     }
 
