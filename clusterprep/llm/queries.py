@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clusterprep.llm import (
     bwt_dedup,
+    conversations,
     exact_dedup,
     grouping,
     language_id,
@@ -132,6 +133,37 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bwt_dedup.remove_repeats(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with faults put in by a hash of id and turn; dropped turns are not `present`."""
+    turns = turns.select(
+        "conv_id",
+        "turn",
+        F.coalesce("role", F.lit(" ")).alias("role"),
+        F.coalesce("text", F.lit(" ")).alias("text"),
+        F.concat_ws(
+            ":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+        ).alias("place"),
+    )
+    fault = F.crc32(F.col("place").cast("binary")) % 20
+    copies = F.when(fault == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return turns.select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(fault == 1, "")
+        .when(fault == 2, F.translate("text", conversations.ENDINGS, ""))
+        .otherwise(F.col("text"))
+        .alias("text"),
+        (fault != 0).alias("present"),
+        F.explode(copies).alias("copy"),
+    )
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = damaged(_table(spark, sf_dir, "conversations"))
+    return conversations.repair_conversations(turns, present_col="present")
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = default_path(PIECES)
     encoded = pieces.encode_pieces(_table(spark, sf_dir, "documents"), path)
@@ -161,6 +193,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_language_id": op9_language_id,
         "op10_suffix_dedup": op10_suffix_dedup,
+        "op12_conversation_repair": op12_conversation_repair,
         "op13_sentencepiece": op13_sentencepiece,
         "pipeline": pipeline,
     }
