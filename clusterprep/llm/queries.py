@@ -16,6 +16,7 @@ from clusterprep.llm import (
     line_dedup,
     order_minhash,
     packing,
+    phrases,
     pieces,
     pii,
     quality,
@@ -133,6 +134,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bwt_dedup.remove_repeats(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine_phrases(_table(spark, sf_dir, "documents"))
+
+
 def damaged(turns: DataFrame) -> DataFrame:
     """Conversations with faults put in by a hash of id and turn; dropped turns are not `present`."""
     turns = turns.select(
@@ -193,6 +198,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_language_id": op9_language_id,
         "op10_suffix_dedup": op10_suffix_dedup,
+        "op11_phrases": op11_phrases,
         "op12_conversation_repair": op12_conversation_repair,
         "op13_sentencepiece": op13_sentencepiece,
         "pipeline": pipeline,
@@ -244,4 +250,45 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept,
                    sha256(bare) AS text_sha256
             FROM t JOIN g USING (bare)""",
+        "op11_phrases": """
+            WITH piece AS (
+              SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS t
+              FROM documents),
+            w AS (SELECT lang, regexp_extract_all(t, '[^\x20\x09]+') AS w FROM piece),
+            total AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM w GROUP BY lang),
+            f AS (
+              SELECT lang, g, CAST(count(*) AS HUGEINT) AS f
+              FROM (SELECT lang, list_slice(w, p, p + k - 1) AS g
+                    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS p
+                          FROM w CROSS JOIN range(1, 6) AS size(k) WHERE len(w) >= k))
+              GROUP BY lang, g),
+            part AS (SELECT lang, g, f FROM f WHERE f >= 100),
+            cut AS (
+              SELECT lang, g, f, unnest(range(1, len(g))) AS k FROM part WHERE len(g) > 1),
+            scored AS (
+              SELECT cut.lang, cut.g, cut.f AS a, x.f AS l, y.f AS r, n, k,
+                     (1000 * cut.f * n) // (x.f * y.f) AS score
+              FROM cut JOIN total USING (lang)
+              JOIN part x ON x.lang = cut.lang AND x.g = list_slice(cut.g, 1, k)
+              JOIN part y ON y.lang = cut.lang AND y.g = list_slice(cut.g, k + 1, len(cut.g))),
+            least AS (
+              SELECT * FROM scored
+              QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+            inner_part AS (
+              SELECT DISTINCT lang, list_slice(g, p, p + k - 1) AS g, f
+              FROM (SELECT lang, g, f, k, unnest(range(1, len(g) - k + 2)) AS p
+                    FROM part CROSS JOIN range(2, 5) AS size(k) WHERE len(g) > k)),
+            kept AS (
+              SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, n, score FROM least
+              WHERE NOT EXISTS (SELECT 1 FROM inner_part i
+                                WHERE i.lang = least.lang AND i.g = least.g AND i.f = least.a)),
+            ranked AS (
+              SELECT *, row_number() OVER (PARTITION BY lang
+                                           ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+            SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a,
+                   CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+                   CAST(score AS BIGINT) AS score
+            FROM ranked WHERE rank <= 2000""",
     }
