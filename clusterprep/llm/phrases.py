@@ -2,11 +2,11 @@
 
 Texts are lower-cased (A to Z), cut into pieces at `.,;:!?` and line breaks, and
 those into words at spaces and tabs. From every word on, a window of up to
-`max_words` words of its piece is taken. Windows are counted in the tasks and
-sorted once, in prefix order: each phrase is the start of some windows, which
-lie next to each other, so one pass over the sorted stream counts the phrases
-of all lengths. Every part of a phrase is at least as frequent as the phrase,
-so only phrases of `min_count` occurrences go on.
+`max_words` words of its piece is taken. Equal windows of a slab of text are one
+row with a count. The windows are sorted once, in prefix order: each phrase is
+the start of some windows, which lie next to each other, so one pass over the
+sorted stream counts the phrases of all lengths. Every part of a phrase is at
+least as frequent as the phrase, so only phrases of `min_count` occurrences go on.
 
 These phrases are then kept as a stream in prefix order and as one in suffix
 order. In prefix order a phrase follows its own first words, so a pass with a
@@ -18,13 +18,13 @@ the left. No count is looked up in a hash table.
 Streams are dealt out in ranges of the whole order, not by a first word, so a
 word or phrase that a third of all rows hold spreads over tasks. A phrase whose
 windows, or an open phrase whose extensions, lie on both sides of a border is
-put together from the parts: at most `max_words` for each border and side.
+put together from the parts: at most `max_words` for each border and side. The
+borders of the windows' ranges come from a sample (`SAMPLED` windows a range, in
+all at most `MOST_SAMPLED`), which decides where rows go and never what is counted.
 
-Before the sort, windows are cut where they can't be frequent: words and pairs
-are counted in a table of `BUCKETS` hash buckets, up to `min_count`, and a pair
-in a bucket below that ends a window. That never loses a frequent phrase, and
-the table (its bits are broadcast) does not grow with the corpus. A corpus that
-fills all buckets has one row per different window of each slab of text sorted.
+All windows take part, at any size of the corpus: what is shuffled is a row for
+each different window of a slab, sorted, so that neighbours share their
+beginnings and compress well.
 
 A null language is `und`; a null text is empty. Texts may be of any length.
 Repeated rows are counted as often as they occur. Ties of score and count are in
@@ -33,24 +33,25 @@ the byte order of the phrases. An empty table gives an empty result.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clusterprep.llm.arrays import LOWER, grams, mix, powers, slabs, text_bytes
+from clusterprep.llm.arrays import LOWER, slabs, text_bytes
 from clusterprep.llm.rows import map_arrow, picked, small
-from clusterprep.session import checkpointed, cut_lineage, discard
+from clusterprep.session import checkpointed, cut_lineage
 
 SLAB = 4 << 20  # bytes of text whose windows are counted together
-BUCKETS = 1 << 22  # of the table of words and pairs
-_BLOCK = 1 << 14
+RANGES = 8  # for each shuffle partition
+SAMPLED = 40
+MOST_SAMPLED = 1_000_000
 UNKNOWN = "und"
 DEALT = 64  # parts of a language that are ranked on their own before all together
 
@@ -87,30 +88,6 @@ class Pieces:
         self.langs: pa.StringArray = langs.dictionary
         self.lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[text]
 
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each word's bytes and language."""
-        data, ends = text_bytes(self.words)
-        sums = np.zeros(len(self.words), np.uint64)
-        if len(self.words):
-            terms = (data.astype(np.uint64) + np.uint64(1)) * powers(len(data))
-            sums = np.add.reduceat(terms, ends[:-1]) * powers(len(data), down=True)[ends[:-1]]
-        own = mix(sums + np.diff(ends).astype(np.uint64))
-        of_lang = np.array([xxhash.xxh64_intdigest(x.encode()) for x in self.langs.to_pylist()], np.uint64)
-        return mix(own[self.word] ^ of_lang[self.lang])
-
-    def pair_buckets(self, hashes: np.ndarray, number: int) -> np.ndarray:
-        """The bucket of each word and the next one; -1 where a piece ends."""
-        buckets = np.full(len(hashes), -1, np.int64)
-        if len(hashes) > 1:
-            inside = self.piece[1:] == self.piece[:-1]
-            buckets[:-1] = np.where(inside, bucket_of(grams(hashes, 2), number), -1)
-        return buckets
-
-
-def bucket_of(hashes: np.ndarray, number: int) -> np.ndarray:
-    """Bucket of each hash; their number is a power of two."""
-    return (hashes & np.uint64(number - 1)).astype(np.int64)
-
 
 def _pieces(batches) -> Iterator[Pieces]:
     """The rows in slabs; short ones are joined up to the size of a slab."""
@@ -129,117 +106,141 @@ def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
 
 
-def _frequent_buckets(rows: DataFrame, min_count: int, number: int) -> tuple[np.ndarray, DataFrame]:
-    """Bits of the buckets with `min_count` words or pairs, and the words of each language.
+def _names(max_words: int) -> list[str]:
+    return [f"w{k}" for k in range(max_words)]
 
-    The counts of a task are cut off at `min_count`, which changes no bit, so
-    they are bytes where that fits. They are added up in Spark, in partitions of
-    the table's blocks.
-    """
-    kind = np.uint8 if min_count < 256 else np.uint32
-    size = min(_BLOCK, number)
 
-    def count(batches):
-        counts = np.zeros(number, kind)
-        words: dict[str, int] = {}
-        for found in _pieces(batches):
-            hashes = found.hashes()
-            pairs = found.pair_buckets(hashes, number)
-            new = np.bincount(bucket_of(hashes, number), minlength=number)
-            new += np.bincount(pairs[pairs >= 0], minlength=number)
-            counts = np.minimum(new + counts, min_count).astype(kind)
-            for lang, n in zip(found.langs.to_pylist(), np.bincount(found.lang, minlength=len(found.langs))):
-                words[lang] = words.get(lang, 0) + int(n)
-        parts = counts.reshape(-1, size)
-        filled = np.flatnonzero(parts.any(axis=1)).tolist()
-        columns = [
-            pa.array([*filled, *[None] * len(words)], pa.int32()),
-            pa.array([*[parts[n].tobytes() for n in filled], *[None] * len(words)], pa.binary()),
-            pa.array([*[None] * len(filled), *words], pa.string()),
-            pa.array([*[None] * len(filled), *words.values()], pa.int64()),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, ["block", "counts", "lang", "n"])
-
-    def add(batches):
-        totals: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for block, part in zip(batch.column("block").to_pylist(), batch.column("counts")):
-                own = np.frombuffer(part.as_buffer(), kind).astype(np.int64)
-                totals[block] = np.minimum(totals.get(block, 0) + own, min_count)
-        bits = [np.packbits(total >= min_count).tobytes() for total in totals.values()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(totals), pa.int32()), pa.array(bits, pa.binary())], ["block", "bits"]
-        )
+def _schema(max_words: int, *more: str) -> str:
+    return ", ".join(["lang string", *[f"{name} string" for name in _names(max_words)], *more])
 
-    parts = cut_lineage(map_arrow(rows, count, "block int, counts binary, lang string, n long"), "buckets")
-    blocks = parts.filter("block IS NOT NULL").select("block", "counts").repartition("block")
-    sums = map_arrow(blocks, add, "block int, bits binary").toArrow()
-    bits = np.zeros((number // size, size // 8), np.uint8)
-    for block, part in zip(sums["block"].to_pylist(), sums["bits"].to_pylist()):
-        bits[block] = np.frombuffer(part, np.uint8)
-    totals = cut_lineage(parts.filter("lang IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    discard(parts)
-    return bits.ravel(), totals
 
+# A window's key: the language and words, each with a zero byte behind it but the
+# last. Zeros and ones in words are two bytes, so keys are in the order of the words.
+_ESCAPES = (("\x01", "\x01\x02"), ("\x00", "\x01\x01"))
+
+
+def _escaped(words: pa.Array) -> pa.Array:
+    for plain, escaped in _ESCAPES:
+        words = pc.replace_substring(words, plain, escaped)
+    return words
+
+
+def _unescaped(words: pa.Array) -> pa.Array:
+    for plain, escaped in reversed(_ESCAPES):
+        words = pc.replace_substring(words, escaped, plain)
+    return words
+
+
+def _in_order(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Different values in byte order, and the place of each there."""
+    words = _escaped(words)
+    by = pc.sort_indices(words.cast(pa.binary())).to_numpy()
+    place = np.empty(len(by), np.int64)
+    place[by] = np.arange(len(by))
+    return words.take(pa.array(by)), place
+
+
+def _counted(found: Pieces, max_words: int) -> tuple[pa.Array, np.ndarray]:
+    """Keys of the different windows of a slab in order, and how often they occur."""
+    count = len(found.word)
+    langs, lang_place = _in_order(found.langs)
+    words, word_place = _in_order(found.words)
+    # Two bits more than the places need, so that 0 can stand for no word.
+    bits = max(1, len(words)).bit_length()
+    window = np.zeros((max_words, count), np.int64)
+    window[0] = word_place[found.word] + 1
+    for k in range(1, max_words):
+        same = found.piece[k:] == found.piece[:-k]
+        window[k, : count - k][same] = window[0, k:][same]
+    # As many words as fit are compared as one number.
+    each = max(1, (62 - len(langs).bit_length()) // bits)
+    keys = []
+    number = lang_place[found.lang]
+    room = each
+    for column in window:
+        if not room:
+            keys.append(number)
+            number, room = np.zeros(count, np.int64), 62 // bits
+        number = (number << bits) | column
+        room -= 1
+    keys.append(number)
+    by = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0])
+    new = np.ones(count, bool)
+    if count:
+        new[1:] = False
+        for key in keys:
+            key = key[by]
+            new[1:] |= key[1:] != key[:-1]
+    first = np.flatnonzero(new)
+    at = by[first]
+    columns = [langs.take(pa.array(lang_place[found.lang[at]]))]
+    for column in window:
+        column = column[at]
+        columns.append(words.take(pa.array(column - 1, mask=column == 0)))
+    keys = pc.binary_join_element_wise(*columns, "\x00", null_handling="skip")
+    return keys, np.diff(np.append(first, count))
 
-def _names(max_words: int) -> list[str]:
-    return [f"w{k}" for k in range(max_words)]
 
+def _borders(rows: DataFrame, max_words: int, ranges: int) -> list[bytes]:
+    """Keys that part the windows into about equal ranges."""
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    wanted = min(SAMPLED * ranges, MOST_SAMPLED)
+    # About 6 bytes a word; of each drawn text, an eighth of its windows.
+    share = min(1.0, 8 * wanted / max(1, size / 6))
 
-def _schema(max_words: int, *more: str) -> str:
-    return ", ".join(["lang string", *[f"{name} string" for name in _names(max_words)], *more])
+    def run(batches):
+        rng = np.random.default_rng(TaskContext.get().partitionId())
+        for found in _pieces(batches):
+            keys, _ = _counted(found, max_words)
+            keys = keys.filter(pa.array(rng.random(len(keys)) < 1 / 8))
+            yield pa.RecordBatch.from_arrays([keys.cast(pa.binary())], ["key"])
+
+    drawn = map_arrow(rows.sample(share, seed=1), run, "key binary")
+    keys = sorted(row["key"] for row in drawn.toLocalIterator())
+    borders = {bytes(keys[len(keys) * n // ranges]) for n in range(1, ranges)} if keys else set()
+    return sorted(borders)
 
 
-def _windows(rows: DataFrame, bits: np.ndarray, max_words: int) -> DataFrame:
-    """Different windows of each slab and their counts: lang, w0, w1, ..., times."""
-    shared = rows.sparkSession.sparkContext.broadcast(bits)
-    number = 8 * len(bits)
-    names = ["lang", *_names(max_words), "times"]
+def _windows(rows: DataFrame, max_words: int, borders: list[bytes]) -> DataFrame:
+    """Keys of the different windows of each slab, their counts and ranges."""
+    shared = rows.sparkSession.sparkContext.broadcast(borders)
 
     def run(batches):
         for found in _pieces(batches):
-            frequent = np.unpackbits(shared.value).view(bool)
-            hashes = found.hashes()
-            pairs = found.pair_buckets(hashes, number)
-            goes_on = (pairs >= 0) & frequent[np.maximum(pairs, 0)]
-            at = np.flatnonzero(frequent[bucket_of(hashes, number)])
-            last = len(hashes) - 1
-            window = np.full((max_words, len(at)), -1, np.int64)
-            window[0] = found.word[at]
-            inside = np.ones(len(at), bool)
-            for k in range(1, max_words):
-                inside &= goes_on[np.minimum(at + k - 1, last)]
-                window[k, inside] = found.word[at[inside] + k]
-            yield from _counted(found, window, found.lang[at], names)
-
-    return map_arrow(rows, run, _schema(max_words, "times long"))
-
-
-def _counted(found: Pieces, window: np.ndarray, lang: np.ndarray, names: list[str]) -> Iterator[pa.RecordBatch]:
-    """Equal windows of one slab as one row."""
-    # They come together in the order of a hash; neighbours are compared whole.
-    code = mix(lang.astype(np.uint64) + np.uint64(1))
-    for column in window:
-        code = mix(code * np.uint64(0xD1342543DE82EF95) + (column + 1).astype(np.uint64))
-    by = np.argsort(code)
-    window, lang = window[:, by], lang[by]
-    new = np.ones(len(by), bool)
-    new[1:] = (window[:, 1:] != window[:, :-1]).any(axis=0) | (lang[1:] != lang[:-1])
-    first = np.flatnonzero(new)
-    times = np.diff(np.append(first, len(by)))
-    for start in range(0, len(first), 50_000):
-        part = first[start : start + 50_000]
-        columns = [found.langs.take(pa.array(lang[part]))]
-        for codes in window:
-            columns.append(found.words.take(pa.array(codes[part], mask=codes[part] < 0)))
-        columns.append(pa.array(times[start : start + 50_000]))
-        yield pa.RecordBatch.from_arrays(columns, names)
+            keys, times = _counted(found, max_words)
+            keys = keys.cast(pa.binary())
+            ends, at = [], 0
+            for border in shared.value:
+                at = bisect_left(_Keys(keys), border, at)
+                ends.append(at)
+            ranges = np.repeat(np.arange(len(ends) + 1), np.diff([0, *ends, len(keys)]))
+            for start in range(0, len(keys), 50_000):
+                part = slice(start, start + 50_000)
+                yield pa.RecordBatch.from_arrays(
+                    [keys[part], pa.array(times[part], pa.int32()), pa.array(ranges[part], pa.int32())],
+                    ["key", "times", "range"],
+                )
+
+    return map_arrow(rows, run, "key binary, times int, range int")
+
+
+class _Keys:
+    """The keys as a sequence for `bisect`."""
+
+    def __init__(self, keys: pa.Array):
+        self._keys = keys
+
+    def __len__(self) -> int:
+        return len(self._keys)
+
+    def __getitem__(self, at: int) -> bytes:
+        return self._keys[at].as_py()
 
 
 class _Counter:
-    """Counts of the phrases of one size in a partition of windows in prefix order.
+    """Counts of the phrases of one size in a range of windows in prefix order.
 
-    A phrase at either end of the partition may go on in the next one, so it is
+    A phrase at either end of the range may go on in the next one, so it is
     sent as a part, whatever its count. `add` and `finish` give (phrases, counts,
     whether they are parts), a phrase being its language and words.
     """
@@ -247,7 +248,7 @@ class _Counter:
     def __init__(self, size: int, least: int):
         self.size, self._least = size, least
         self._open: tuple | None = None  # the last phrase and its count so far
-        self._starts = False  # whether that phrase began the partition
+        self._starts = False  # whether that phrase began the range
         self._begun = False
 
     def add(self, windows: pa.RecordBatch, times: np.ndarray, filled: np.ndarray, equal: np.ndarray):
@@ -298,44 +299,83 @@ class _Counter:
 
 
 def _phrase_counts(windows: DataFrame, max_words: int, min_count: int) -> DataFrame:
-    """All phrases of `min_count` or more occurrences, single words too: lang, w0, w1, ..., f."""
+    """All phrases of `min_count` or more occurrences, single words too: lang, w0, w1, ..., f.
+
+    A language has a row without words, whose f is the number of all its words.
+    """
     names = ["lang", *_names(max_words)]
 
     def run(batches):
-        counters = [_Counter(size, min_count) for size in range(1, max_words + 1)]
+        totals: dict[str, int] = {}
+        counters, current = [], None
 
         def sent(size, columns, counts, part):
             nulls = [pa.nulls(len(counts), pa.string())] * (max_words - size)
+            columns = [_unescaped(column) for column in columns]
             flags = pa.array(np.full(len(counts), part))
             return pa.RecordBatch.from_arrays(
                 [*columns, *nulls, pa.array(counts.astype(np.int64)), flags], [*names, "f", "part"]
             )
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            words = batch.select(names)
-            times = batch.column("times").to_numpy()
-            equal = np.ones(batch.num_rows, bool)
-            equal[0] = False
-            equal[1:] &= _same(words.column(0))
-            for counter, column in zip(counters, words.columns[1:]):
-                equal[1:] &= _same(column)
-                filled = column.is_valid().to_numpy(zero_copy_only=False)
-                for found in counter.add(words, times, filled, equal):
+        def finished():
+            for counter in counters:
+                for found in counter.finish():
                     yield sent(counter.size, *found)
-        for counter in counters:
-            for found in counter.finish():
-                yield sent(counter.size, *found)
+
+        for batch in batches:
+            numbers = batch.column("range").to_numpy()
+            stops = [*np.flatnonzero(numbers[1:] != numbers[:-1]) + 1, len(numbers)]
+            start = 0
+            for stop in map(int, stops):
+                if stop == start:
+                    continue
+                if numbers[start] != current:
+                    yield from finished()
+                    counters = [_Counter(size, min_count) for size in range(1, max_words + 1)]
+                    current = numbers[start]
+                words = _split(batch.column("key")[start:stop], names)
+                times = batch.column("times")[start:stop].to_numpy().astype(np.int64)
+                _add_up(totals, words.column(0), times)
+                equal = np.ones(stop - start, bool)
+                equal[0] = False
+                equal[1:] &= _same(words.column(0))
+                for counter, column in zip(counters, words.columns[1:]):
+                    equal[1:] &= _same(column)
+                    filled = column.is_valid().to_numpy(zero_copy_only=False)
+                    for found in counter.add(words, times, filled, equal):
+                        yield sent(counter.size, *found)
+                start = stop
+        yield from finished()
+        if totals:
+            langs = _unescaped(pa.array(list(totals), pa.string()))
+            yield sent(0, [langs], np.array(list(totals.values())), True)
 
     partitions = int(windows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = windows.repartitionByRange(partitions, *names).sortWithinPartitions(*names)
+    ordered = windows.repartition(partitions, "range").sortWithinPartitions("key")
     found = cut_lineage(map_arrow(ordered, run, _schema(max_words, "f long", "part boolean")), "counts")
     parts = found.filter("part").groupBy(*names).agg(F.sum("f").alias("f"))
     whole = found.filter("NOT part").select(*names, "f")
     words = F.filter(F.array(*_names(max_words)), lambda w: w.isNotNull())
-    every = whole.unionAll(parts.filter(F.col("f") >= min_count))
-    return every.select("lang", words.alias("words"), "f")
+    every = whole.unionAll(parts.filter((F.col("f") >= min_count) | F.col("w0").isNull()))
+    return cut_lineage(every.select("lang", words.alias("words"), "f"), "phrases")
+
+
+def _split(keys: pa.Array, names: list[str]) -> pa.RecordBatch:
+    """The language and words of keys as columns, null where a window is shorter."""
+    lists = pc.split_pattern(keys.cast(pa.string()), "\x00")
+    ends = np.asarray(lists.offsets)
+    size = np.diff(ends)
+    columns = [
+        lists.values.take(pa.array(ends[:-1] + k, mask=size <= k)) for k in range(len(names))
+    ]
+    return pa.RecordBatch.from_arrays(columns, names)
+
+
+def _add_up(totals: dict[str, int], langs: pa.Array, times: np.ndarray) -> None:
+    coded = langs.dictionary_encode()
+    sums = np.bincount(coded.indices.to_numpy(), weights=times, minlength=len(coded.dictionary))
+    for lang, count in zip(coded.dictionary.to_pylist(), sums):
+        totals[lang] = totals.get(lang, 0) + int(count)
 
 
 def _same(column: pa.Array) -> np.ndarray:
@@ -496,7 +536,6 @@ def mine_phrases(
     max_words: int = 5,
     min_count: int = 100,
     top: int = 2000,
-    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Each language's first `top` phrases of 2 to `max_words` words: lang, rank, phrase, a, l, r, n, score.
 
@@ -507,12 +546,13 @@ def mine_phrases(
     rows = picked(docs, text=text_col, lang=lang_col)
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN))
     rows = rows.select("text", lang.alias("lang"))
-    bits, totals = _frequent_buckets(rows, min_count, buckets)
-    windows = cut_lineage(_windows(rows, bits, max_words), "windows")
-    phrases = _phrase_counts(windows, max_words, min_count)
+    ranges = RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    windows = _windows(rows, max_words, _borders(rows, max_words, ranges))
+    counted = _phrase_counts(windows, max_words, min_count)
+    totals = counted.filter("size(words) = 0").select("lang", F.col("f").alias("n"))
+    phrases = counted.filter("size(words) > 0")
     phrases = _with_parts(phrases, max_words, False, "starts", "goes_on")
     phrases = _with_parts(phrases, max_words, True, "ends", "comes_before")
-    discard(windows)
     candidates = phrases.filter("size(words) > 1 AND NOT goes_on AND NOT comes_before")
     scored = _scored(candidates.join(small(totals), "lang").select("lang", "words", "f", "n", "starts", "ends"))
     scored = scored.withColumn("phrase", F.array_join("words", " ")).drop("words")
