@@ -19,8 +19,8 @@ Streams are dealt out in ranges of the whole order, not by a first word, so a
 word or phrase that a third of all rows hold spreads over tasks. A phrase whose
 windows, or an open phrase whose extensions, lie on both sides of a border is
 put together from the parts: at most `max_words` for each border and side. The
-borders of the windows' ranges come from a sample (`SAMPLED` windows a range, in
-all at most `MOST_SAMPLED`), which decides where rows go and never what is counted.
+borders of the windows' ranges come from a sample (about `SAMPLED` windows a range, in
+all about `MOST_SAMPLED` at most, from `TEXTS_SAMPLED` of the texts), which decides where rows go and never what is counted.
 
 All windows take part, at any size of the corpus: what is shuffled is a row for
 each different window of a slab, sorted, so that neighbours share their
@@ -48,10 +48,11 @@ from clusterprep.llm.arrays import LOWER, slabs, text_bytes
 from clusterprep.llm.rows import map_arrow, picked, small
 from clusterprep.session import checkpointed, cut_lineage
 
-SLAB = 4 << 20  # bytes of text whose windows are counted together
+SLAB = 1 << 20  # bytes of text whose windows are counted together
 RANGES = 8  # for each shuffle partition
 SAMPLED = 40
 MOST_SAMPLED = 1_000_000
+TEXTS_SAMPLED = 0.02
 UNKNOWN = "und"
 DEALT = 64  # parts of a language that are ranked on their own before all together
 
@@ -185,14 +186,16 @@ def _borders(rows: DataFrame, max_words: int, ranges: int) -> list[bytes]:
     """Keys that part the windows into about equal ranges."""
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     wanted = min(SAMPLED * ranges, MOST_SAMPLED)
-    # About 6 bytes a word; of each drawn text, an eighth of its windows.
-    share = min(1.0, 8 * wanted / max(1, size / 6))
+    # About 6 bytes a word. A share of all texts is read, or all of a small table.
+    words = max(1, size / 6)
+    share = min(1.0, max(TEXTS_SAMPLED, 1_000_000 / words))
+    drawn_of = min(1.0, wanted / (share * words))
 
     def run(batches):
         rng = np.random.default_rng(TaskContext.get().partitionId())
         for found in _pieces(batches):
             keys, _ = _counted(found, max_words)
-            keys = keys.filter(pa.array(rng.random(len(keys)) < 1 / 8))
+            keys = keys.filter(pa.array(rng.random(len(keys)) < drawn_of))
             yield pa.RecordBatch.from_arrays([keys.cast(pa.binary())], ["key"])
 
     drawn = map_arrow(rows.sample(share, seed=1), run, "key binary")
@@ -220,6 +223,7 @@ def _windows(rows: DataFrame, max_words: int, borders: list[bytes]) -> DataFrame
                     [keys[part], pa.array(times[part], pa.int32()), pa.array(ranges[part], pa.int32())],
                     ["key", "times", "range"],
                 )
+        pa.default_memory_pool().release_unused()
 
     return map_arrow(rows, run, "key binary, times int, range int")
 
