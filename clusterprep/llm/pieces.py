@@ -26,6 +26,7 @@ ids stay, and an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -100,13 +101,20 @@ class PieceEncoder:
         """Put all of these chunks into the younger generation."""
         missing = chunks.difference(self._young)
         self._chars += sum(map(len, missing))
-        kept = missing.intersection(self._old)
-        for chunk in kept:
-            self._young[chunk] = self._old[chunk]
-        new = list(missing.difference(kept))
+        new = []
+        for chunk in missing:
+            ids = self._old.get(chunk)
+            if ids is None:
+                new.append(chunk)
+            else:
+                self._young[chunk] = ids
         # The first mark of a chunk is the one that the library adds.
-        for chunk, ids in zip(new, self.library.encode([c[1:] for c in new], num_threads=1)):
-            self._young[chunk] = np.array(ids, np.int32).tobytes() if len(chunk) > 1 else self._mark
+        ids = self.library.encode([chunk[1:] for chunk in new], num_threads=1)
+        raw = np.fromiter(chain.from_iterable(ids), np.int32).tobytes()
+        at = 0
+        for chunk, size in zip(new, map(len, ids)):
+            self._young[chunk] = raw[at : at + 4 * size] if len(chunk) > 1 else self._mark
+            at += 4 * size
 
 
 def encode_pieces(
