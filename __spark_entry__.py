@@ -48,10 +48,13 @@ from clusterprep.plans.cluster_job import (  # noqa: E402
 )
 from clusterprep.plans.prepare import prepare_training_data  # noqa: E402
 from clusterprep.plans.sample_file import SAMPLE_ROWS, write_sample  # noqa: E402
-from clusterprep.session import fresh_path  # noqa: E402
+from clusterprep.session import cut_lineage, fresh_path  # noqa: E402
 from clusterprep.sinks.files import rows_to_json, write_jsonl  # noqa: E402
 from clusterprep.sinks.tables import (  # noqa: E402
+    INPUT_TABLE,
+    METRICS_TABLE,
     PREDICTIONS_TABLE,
+    CatalogTarget,
     ParquetTarget,
     replace_table,
     results_summary,
@@ -161,6 +164,19 @@ def source_rows_readback(spark, sf_dir):
     return save_input(rows, ParquetTarget(fresh_path(spark, "input")))
 
 
+def catalog_tables(spark, sf_dir):
+    """The input as a table of a new catalog database, read back with the database's table list."""
+    path = fresh_path(spark, "catalog")
+    target = CatalogTarget(os.path.basename(path).replace("-", "_"), path)
+    rows = _table(spark, sf_dir, "customer")
+    save_input(rows, target)
+    replace_table(metrics_table(spark, {"rows": float(rows.count())}), target, METRICS_TABLE)
+    stored = target.read(spark, INPUT_TABLE).withColumn("tables", F.lit(",".join(target.tables(spark))))
+    stored = cut_lineage(stored, "stored")
+    target.drop(spark)
+    return stored
+
+
 def predictions_text_sink(spark, sf_dir):
     rows = _table(spark, sf_dir, "lineitem").selectExpr(
         "CASE WHEN l_orderkey % 13 = 0 THEN NULL ELSE l_extendedprice END AS price",
@@ -478,6 +494,7 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rows_to_json": rows_to_json_lines,
         "sample_to_parquet": sample_to_parquet,
         "source_rows_readback": source_rows_readback,
+        "catalog_tables": catalog_tables,
         "predictions_text_sink": predictions_text_sink,
         "save_results_roundtrip": save_results_roundtrip,
         "results_row_count": results_row_count,
@@ -644,6 +661,7 @@ def table_oracle_sql() -> dict[str, str]:
             SELECT CAST(c_custkey AS DOUBLE) AS c_custkey,
                    CAST(c_nationkey AS DOUBLE) AS c_nationkey, c_acctbal
             FROM customer""",
+        "catalog_tables": f"SELECT *, '{INPUT_TABLE},{METRICS_TABLE}' AS tables FROM customer",
         "predictions_text_sink": f"""
             SELECT CASE WHEN l_orderkey % 13 = 0 THEN ''
                         ELSE CAST(l_extendedprice AS VARCHAR) END AS price,

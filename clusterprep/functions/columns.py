@@ -51,8 +51,29 @@ def unpivoted(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def plain_number(value: Column) -> Column:
-    """Text of a float in plain decimal notation, also where a cast gives 1.0E7."""
+    """Text of a float in plain decimal notation, also where a cast gives 1.0E7.
+
+    A cast is plain by itself between 0.001 and 10 million. A good way beyond,
+    the shortest digits (17 at most) fit a decimal, whose zeros are cut off; only
+    what is left is put together from its digits, by a function of the text, so
+    that the compiled code of many columns stays small.
+    """
     text = value.cast("string")
+    size = F.abs(value)
+    large, small = (
+        F.regexp_replace(text.try_cast(f"decimal(38,{scale})").cast("string"), "(?<!\\.)0+$", "")
+        for scale in (12, 24)
+    )
+    return (
+        F.when((size >= 1e-3) & (size < 1e7) | (size == 0), text)
+        .when((size >= 1e7) & (size < 1e19), large)
+        .when((size >= 1e-6) & (size < 1e-3), small)
+        .otherwise(F.get(F.transform(F.array(text), _from_digits), F.lit(0)))
+    )
+
+
+def _from_digits(text: Column) -> Column:
+    """Plain form of a number's text, with an exponent or without."""
     parts = F.split(text, "E")
     sign = F.when(text.startswith("-"), F.lit("-")).otherwise(F.lit(""))
     digits = F.regexp_replace(F.regexp_replace(parts[0], "[-.]", ""), "(?<=.)0+$", "")

@@ -56,15 +56,19 @@ class CatalogTarget:
     def tables(self, spark: SparkSession) -> list[str]:
         return sorted(t.name for t in spark.catalog.listTables(self.database) if not t.isTemporary)
 
+    def drop(self, spark: SparkSession) -> None:
+        """Delete the database with its tables."""
+        spark.sql(f"DROP DATABASE IF EXISTS {quoted(self.database)} CASCADE")
+
 
 @dataclass(frozen=True)
 class JdbcTarget:
     """Tables of a database reached over JDBC; `properties` hold driver and login.
 
-    `connections` bounds how many tasks write, or read, at the same time. With a
-    numeric, date or timestamp `partition_column` tables that have it are read
-    by ranges of it; all others are read by one task. Text columns get the
-    database's own unlimited type.
+    `connections` bounds how many tasks write, or read, at the same time. Tables
+    are read by ranges of `partition_column`, or else of the first column of
+    their primary key, if it is numeric, a date or a timestamp; all others are
+    read by one task. Text columns get the database's own unlimited type.
     """
 
     url: str

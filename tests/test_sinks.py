@@ -1,11 +1,16 @@
 """Result tables. JDBC calls are recorded, as no database may be started here."""
 
+import math
+import random
+import struct
 import uuid
 from datetime import date, datetime
 from decimal import Decimal
 from unittest.mock import MagicMock, call
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from clusterprep.operators.evaluate import metrics_table
 from clusterprep.session import fresh_path
@@ -23,7 +28,7 @@ from clusterprep.sinks.tables import (
     save_results,
     text_columns,
 )
-from clusterprep.sources.jdbc import read_jdbc
+from clusterprep.sources.jdbc import key_columns, read_jdbc
 
 
 def catalog(spark):
@@ -110,13 +115,29 @@ def test_jdbc_write(spark):
     writer.jdbc.assert_called_once_with("jdbc:x", "t", properties={"user": "u"})
 
 
-def reader(ends):
-    """A session whose reader records options; the first row of any table is `ends`."""
+def reader(ends, keys=()):
+    """A session whose reader records options; the first row of any table is `ends`.
+
+    The table t has a primary key of the columns `keys`.
+    """
     spark = MagicMock()
+    metadata = spark._jvm.java.sql.DriverManager.getConnection.return_value.getMetaData.return_value
+
+    def primary_keys(_, schema, table):
+        own = list(enumerate(keys, 1)) if table == "t" else []
+        rows = MagicMock()
+        rows.next.side_effect = [True] * len(own) + [False]
+        # Rows come in the order of the names, not of the key.
+        own.sort(key=lambda row: row[1])
+        rows.getShort.side_effect = [number for number, _ in own]
+        rows.getString.side_effect = [name for _, name in own]
+        return rows
+
+    metadata.getPrimaryKeys.side_effect = primary_keys
     jdbc = spark.read.format.return_value
     jdbc.options.return_value = jdbc.option.return_value = jdbc
     jdbc.load.return_value.first.return_value = ends
-    jdbc.load.return_value.columns = ["id", "day"]
+    jdbc.load.return_value.schema = StructType.fromDDL("id long, day date, name string")
     return spark, jdbc
 
 
@@ -150,7 +171,7 @@ def test_jdbc_read_in_parallel(ends, low, high):
     ]
 
 
-@pytest.mark.parametrize("column", ["id", "other", None])
+@pytest.mark.parametrize("column", ["id", "other", "name", None])
 def test_jdbc_read_that_cannot_be_split(column):
     spark, jdbc = reader((None, None))
     assert read_jdbc(spark, "jdbc:x", "t", partition_column=column) is jdbc.load.return_value
@@ -158,6 +179,30 @@ def test_jdbc_read_that_cannot_be_split(column):
     assert not any(name == "partitionColumn" for name, _ in options(jdbc))
 
 
+@pytest.mark.parametrize("keys,column", [(["id"], "id"), (["day", "a"], "day"), (["id", "a", "b"], "id")])
+def test_jdbc_read_by_ranges_of_the_key(keys, column):
+    spark, jdbc = reader((3, 8), keys)
+    read_jdbc(spark, "jdbc:x", "s.T", {"user": "u", "driver": "d.D"}, partitions=4)
+    assert ("partitionColumn", column) in options(jdbc) and ("lowerBound", "3") in options(jdbc)
+    registry = spark._jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry
+    registry.register.assert_called_once_with("d.D")
+    manager = spark._jvm.java.sql.DriverManager.getConnection
+    manager.assert_called_once()
+    manager.return_value.close.assert_called_once_with()
+    asked = [c.args for c in manager.return_value.getMetaData.return_value.getPrimaryKeys.mock_calls]
+    assert asked == [(None, "s", "T"), (None, "S", "T"), (None, "s", "t")]
+
+
+@pytest.mark.parametrize("keys", [[], ["name"]])
+def test_jdbc_read_of_a_table_without_a_usable_key(keys):
+    spark, jdbc = reader((3, 8), keys)
+    assert read_jdbc(spark, "jdbc:x", "t") is jdbc.load.return_value
+
+
+def test_key_of_a_database_that_cannot_be_asked(spark):
+    assert key_columns(spark, "jdbc:nothing:x", "t", {"user": "u"}) == []
+
+
 def test_jdbc_target_reads_by_its_partition_column():
     spark, jdbc = reader((1, 2))
     JdbcTarget("jdbc:x", {}, connections=5, partition_column="id").read(spark, "t")
@@ -186,3 +231,32 @@ def test_numbers_are_plain_decimals(spark):
     ]
     assert texts[10] == "Infinity"
     assert [float(t) for t in texts[:10]] == values[:10]
+
+
+@pytest.mark.parametrize("kind", ["double", "float"])
+def test_plain_decimals_of_all_sizes(spark, kind):
+    rng = random.Random(4)
+    values = [rng.uniform(-1, 1) * 10.0 ** rng.randint(-12, 22) for _ in range(2000)]
+    values += [struct.unpack("d", struct.pack("Q", rng.getrandbits(64)))[0] for _ in range(500)]
+    values += [9999999.999999998, 1e19, 9.999999999999999e18, 9.999999999999999e-4, 1e-6, 9.99e-7, -0.0]
+    df = spark.createDataFrame([(v,) for v in values], "x double").select(F.col("x").cast(kind))
+    df = df.filter("NOT isnan(x)")
+    rows = df.select("x", F.col("x").cast("string").alias("short")).collect()
+    for row, (text,) in zip(rows, text_columns(df).collect()):
+        expected = format(Decimal(row["short"]), "f") if row["x"] not in (math.inf, -math.inf) else row["short"]
+        if "." not in expected and "n" not in expected:
+            expected += ".0"
+        if "E" in row["short"] and "." in expected:
+            whole, _, behind = expected.partition(".")
+            expected = f"{whole}.{behind.rstrip('0') or '0'}"
+        assert text == expected
+
+
+def test_dropped_database(spark):
+    target = catalog(spark)
+    target.write(spark.range(3), "b")
+    target.write(spark.range(3), "a")
+    assert target.tables(spark) == ["a", "b"]
+    target.drop(spark)
+    assert not spark.catalog.databaseExists(target.database)
+    target.drop(spark)
