@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 
@@ -50,10 +51,82 @@ def test_base_spans_are_those_of_the_plain_patterns(letters):
         assert base(text) == brute(text), text
 
 
-def test_very_long_runs_take_linear_time():
-    for text in ("a" * 300_000, "1" * 300_000, "a@" * 150_000, "1." * 150_000, "+1 " * 100_000):
+UNITS = [
+    "a", "1", "a@", "1.", "+1 ", "1 ", "1-", "+1(", "a@a.", "@", "AB12", "AB12 ", "123-45-", "(123) ",
+    "123.456.", "12 34-", "+1234567890", "12345678901234 ", "+", "GB82 WEST 1234 5698 7654 32 ", "a@-.",
+]
+
+
+@pytest.mark.parametrize("unit", UNITS)
+def test_very_long_runs_take_linear_time(unit):
+    took = []
+    for size in (75_000, 150_000, 300_000):
+        text = (unit * size)[:size]
+        start = time.perf_counter()
         pii.find_spans(text)
+        took.append(time.perf_counter() - start)
+    assert took[-1] < 5 and took[-1] < 10 * took[0] + 0.5
+
+
+def test_spans_in_long_runs():
     assert base("a" * 100_000 + "@b.cc") == [(0, 0, 100_005)]
+    assert base("1" * 100_000 + ".2.3.4 1.2.3.4") == [(100_007, 1, 100_014)]
+
+
+ADDED = {
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
+    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "local_phone": r"(?<![0-9+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9-])",
+}
+
+
+def check_digits(account):
+    digits = "".join(str("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ".index(c)) for c in account[4:] + account[:4])
+    rest = 0
+    for digit in digits:
+        rest = (rest * 10 + int(digit)) % 97
+    return rest == 1
+
+
+def brute_added(text):
+    """Added spans: proposed, confirmed, scored by their surroundings, free of base spans."""
+    kept = [(start, end) for start, _, end in brute(text)]
+    found = []
+    for number, (kind, pattern) in enumerate(ADDED.items(), len(PATTERNS)):
+        for match in re.finditer(pattern, text):
+            start, end = match.span()
+            if kind == "iban" and not check_digits(match.group().replace(" ", "")):
+                continue
+            words = re.findall("[a-z]+", (text[max(0, start - 40) : start] + " " + text[end : end + 40]).lower())
+            value = pii.PRIOR[kind]
+            value += 0.35 * any(w in pii.RAISING[kind].split() for w in words)
+            value -= 0.3 * any(w in pii.LOWERING.split() for w in words)
+            if round(min(1, value), 2) >= 0.6 and all(end <= x or y <= start for x, y in kept):
+                found.append((start, number, end))
+    return sorted(found)
+
+
+def iban(rng):
+    rest = "".join(rng.choices("ABCXYZ0123456789", k=rng.randint(11, 20)))
+    return next(x for n in range(2, 99) if check_digits(x := f"GB{n:02d}{rest}"))
+
+
+def test_added_spans(spark):
+    rng = random.Random(11)
+    parts = [
+        "123-45-6789", "555-123-4567", "(555) 123-4567", "(555)123.4567", "ssn", "Tel", "phone", "order", "version",
+        "a@b.cc", "1.2.3.4", "4111 1111 1111 1111", "+1 555 123 4567", "-", "x" * 30, "bank", "IBAN", "9", "é",
+    ]
+    seen = set()
+    for _ in range(4000):
+        account = iban(rng)
+        spaced = " ".join(account[i : i + 4] for i in range(0, len(account), 4))
+        words = rng.choices([*parts, account, spaced, account[:-1] + "Q"], k=rng.randint(1, 8))
+        text = rng.choice([" ", " ", ", ", ""]).join(words)
+        got = [span[:3] for span in pii.find_spans(text) if span[1] >= len(pii.BASE_KINDS)]
+        assert got == brute_added(text), text
+        seen.update(number for _, number, _ in got)
+    assert seen == {4, 5, 6}
 
 
 def test_checksums():
