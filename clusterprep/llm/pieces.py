@@ -39,7 +39,7 @@ from clusterprep.llm.arrays import slabs
 from clusterprep.llm.rows import map_arrow, picked
 
 MARK = "▁"  # fixed value: the sign that stands for a space
-CHUNKS = 200_000
+CHUNKS = 100_000
 CHARS = 4_000_000
 DECODED = 1 << 20  # ids decoded together
 _CHUNK = re.compile(f"[ {MARK}]+[^ {MARK}]*")
@@ -101,13 +101,9 @@ class PieceEncoder:
         """Put all of these chunks into the younger generation."""
         missing = chunks.difference(self._young)
         self._chars += sum(map(len, missing))
-        new = []
-        for chunk in missing:
-            ids = self._old.get(chunk)
-            if ids is None:
-                new.append(chunk)
-            else:
-                self._young[chunk] = ids
+        kept = self._old.keys() & missing
+        self._young.update(zip(kept, map(self._old.__getitem__, kept)))
+        new = list(missing - kept)
         # The first mark of a chunk is the one that the library adds.
         ids = self.library.encode([chunk[1:] for chunk in new], num_threads=1)
         raw = np.fromiter(chain.from_iterable(ids), np.int32).tobytes()

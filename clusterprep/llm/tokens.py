@@ -19,6 +19,8 @@ from tokenizers import Tokenizer
 # Fixed values of the published vocabularies.
 BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"""
+# The same for lower-case ASCII text.
+ASCII_WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+"""
 WORD_END = "</w>"
 
 _loaded: dict[str, object] = {}
@@ -64,7 +66,8 @@ class WordEncoder:
     """BPE with word ends, equal to `tokenizers` on the same file, chunk by chunk.
 
     White space separates words, so a text's ids are its chunks' ids in order.
-    Chunks seen before are looked up. New ones of plain letters and signs go
+    Chunks seen before are looked up, in two generations: chunks in use move to
+    the younger one, so frequent words are not learned again. New ones of plain letters and signs go
     together through the same merges in one call: after each word an upper-case
     letter, which normalised text cannot hold, stands for the word's end. All
     other chunks (special tokens, further scripts, very long ones) and texts
@@ -72,8 +75,8 @@ class WordEncoder:
     the `tokenizers` library itself.
     """
 
-    # A cache of a worker is emptied when it holds so many chunks.
-    CACHED = 150_000
+    # A generation of a worker's chunks becomes the older one when it holds so many.
+    CACHED = 100_000
     LONGEST = 64
     _END = "Z"
     _SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
@@ -99,24 +102,29 @@ class WordEncoder:
             special_tokens={},
         )
         self._words = regex.compile(WORD_PATTERN + "| ")
+        self._ascii_words = re.compile(ASCII_WORD_PATTERN + "| ")
         self._odd = re.compile(r"[^\x00-ɏ]|<\|")
-        self._cache: dict[str, bytes] = {}
+        self._young: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, as unsigned 32-bit integers."""
         parts = [None if any(c in text for c in self._SEPARATORS) else text.split() for text in texts]
-        missing = set().union(*[p for p in parts if p is not None]).difference(self._cache)
+        missing = set().union(*[p for p in parts if p is not None]).difference(self._young)
+        kept = self._old.keys() & missing
+        self._young.update(zip(kept, map(self._old.__getitem__, kept)))
+        missing -= kept
         if missing:
             self._learn(list(missing))
-        known = self._cache.__getitem__
+        known = self._young.__getitem__
         ids = [
             np.array(self._whole.encode(text, add_special_tokens=False).ids, np.uint32)
             if chunks is None
             else np.frombuffer(b"".join(map(known, chunks)), np.uint32)
             for text, chunks in zip(texts, parts)
         ]
-        if len(self._cache) > self.CACHED:
-            self._cache.clear()
+        if len(self._young) > self.CACHED:
+            self._old, self._young = self._young, {}
         return ids
 
     def _learn(self, chunks: list[str]) -> None:
@@ -127,19 +135,20 @@ class WordEncoder:
         if chunks:
             # A space between chunks becomes a word of its own, with an id that no text has.
             text = unicodedata.normalize("NFC", " ".join(chunks)).lower()
-            words = self._END.join(self._words.findall(text)) + self._END
+            pattern = self._ascii_words if text.isascii() else self._words
+            words = self._END.join(pattern.findall(text)) + self._END
             ids = self._merges.encode_to_numpy(words, disallowed_special=()).astype(np.uint32)
             stops = np.flatnonzero(ids == self._break)
             starts = np.concatenate([[0], stops + 1]) * 4
             stops = np.append(stops, len(ids)) * 4
             raw = ids.tobytes()
-            self._cache.update(
+            self._young.update(
                 (chunk, raw[start:stop])
                 for chunk, start, stop in zip(chunks, starts.tolist(), stops.tolist())
             )
         if odd:
             for chunk, found in zip(odd, self._whole.encode_batch(odd, add_special_tokens=False)):
-                self._cache[chunk] = np.array(found.ids, np.uint32).tobytes()
+                self._young[chunk] = np.array(found.ids, np.uint32).tobytes()
 
 
 def _plain_bytes() -> dict[str, int]:
