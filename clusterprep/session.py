@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -59,7 +60,25 @@ def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     """
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
-    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    return read_written(df.sparkSession, path, df.schema)
+
+
+def read_written(
+    spark: SparkSession, path: str, schema: StructType, part: tuple[str, int] | None = None
+) -> DataFrame:
+    """A table below a path of `fresh_path`, which `discard` may delete.
+
+    Of a table written by a partition column, `part` reads one value only,
+    without that column; it may have no rows and then no folder.
+    """
+    if part is None:
+        written = spark.read.schema(schema).parquet(path)
+    else:
+        name, value = part
+        both = StructType([*schema.fields, StructField(name, IntegerType())])
+        whole = spark.read.schema(both).parquet(path)
+        written = whole.filter(whole[name] == value).drop(name)
+        path = f"{path}/{name}={value}"
     written._clusterprep_path = path
     return written
 
@@ -68,7 +87,8 @@ def discard(*frames: DataFrame) -> None:
     """Delete what `cut_lineage` wrote for these frames, which nothing may read any more."""
     for df in frames:
         _delete(df.sparkSession, df._clusterprep_path)
-    release_shuffles(frames[0].sparkSession)
+    for df in frames[:1]:
+        release_shuffles(df.sparkSession)
 
 
 def release_shuffles(spark: SparkSession) -> None:
