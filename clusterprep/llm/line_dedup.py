@@ -33,22 +33,24 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clusterprep.functions.columns import column
 from clusterprep.llm.arrays import Words, grams, mix, slabs, text_bytes
 from clusterprep.llm.rows import map_arrow, picked, small, unused, with_row
-from clusterprep.session import cut_lineage, discard, release_shuffles
+from clusterprep.session import cut_lineage, discard, fresh_path, read_written, release_shuffles
 
 K = 5
 SIMILARITY = 0.8
 SMALL = 16
 GROWTH = 16
+COMMON = 4096  # lines, by bucket, from which on a token's postings are not counted in one task
 BUCKETS = 1 << 20  # of the token counts: 4 MB when broadcast
 _BLOCK = 1 << 10
 _COMMON = (1 << 16) - 1  # counts from here on are alike
+_LINE, _PREFIX, _TEXT = range(3)
 
 
 class LineTokens:
@@ -140,9 +142,9 @@ def token_counts(rows: DataFrame) -> np.ndarray:
 
 
 def _lines(rows: DataFrame, counts: np.ndarray) -> DataFrame:
-    """One row per line with words, and one with line -1 per text, whose size is its lines."""
+    """Rows of three kinds: a line with words, its prefix, and a text, whose size is its lines."""
     shared = rows.sparkSession.sparkContext.broadcast(counts)
-    names = ["lid", "row", "doc_id", "line", "a", "b", "size", "prefix", "words"]
+    names = ["lid", "row", "doc_id", "line", "a", "b", "size", "prefix", "common", "words", "kind"]
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         lid = TaskContext.get().partitionId() << 40
@@ -161,35 +163,38 @@ def _lines(rows: DataFrame, counts: np.ndarray) -> DataFrame:
                 a = b = np.zeros(0, np.int64)
             probe = size - _whole(SIMILARITY * size) + 1
             at = np.repeat(begin - (np.cumsum(probe) - probe), probe) + np.arange(probe.sum())
-            ends = np.concatenate([[0], np.cumsum(probe), np.full(slab.num_rows, probe.sum())])
-            prefix = pa.ListArray.from_arrays(
-                pa.array(ends, pa.int32()), pa.array(token[at].view(np.int64))
-            )
+            ends = pa.array(np.concatenate([[0], np.cumsum(probe)]), pa.int32())
+            prefix = pa.ListArray.from_arrays(ends, pa.array(token[at].view(np.int64)))
+            common = pa.ListArray.from_arrays(ends, pa.array(shared.value[_bucket(token[at])] >= COMMON))
             short = (found.words.hash >> np.uint64(32)).astype(np.uint32)
             # Every word is in a line of `own`, so the lines' words follow each other.
-            borders = np.concatenate([found.of[own], np.full(slab.num_rows + 1, len(short))]) * 4
+            borders = np.append(found.of[own], len(short)) * 4
             words = pa.Array.from_buffers(
-                pa.binary(),
-                len(own) + slab.num_rows,
-                [None, pa.py_buffer(borders.astype(np.int32)), pa.py_buffer(short)],
+                pa.binary(), len(own), [None, pa.py_buffer(borders.astype(np.int32)), pa.py_buffer(short)]
             )
+
+            def sent(kind, where, line, numbers, prefix=None, common=None, words=None):
+                count = len(where)
+                columns = [
+                    pa.array(np.arange(lid, lid + count)),
+                    slab.column("row").take(pa.array(where)),
+                    slab.column("doc_id").take(pa.array(where)),
+                    pa.array(line, pa.int32()),
+                    *map(pa.array, numbers[:2]),
+                    pa.array(numbers[2], pa.int32()),
+                    pa.nulls(count, pa.list_(pa.int64())) if prefix is None else prefix,
+                    pa.nulls(count, pa.list_(pa.bool_())) if common is None else common,
+                    pa.nulls(count, pa.binary()) if words is None else words,
+                    pa.array(np.full(count, kind), pa.int32()),
+                ]
+                return pa.RecordBatch.from_arrays(columns, names)
+
             texts = np.arange(slab.num_rows)
-            where = pa.array(np.concatenate([text[own], texts]))
             none = np.zeros(slab.num_rows, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.arange(lid, lid + len(where))),
-                    slab.column("row").take(where),
-                    slab.column("doc_id").take(where),
-                    pa.array(np.concatenate([number[own], np.full(slab.num_rows, -1)]), pa.int32()),
-                    pa.array(np.concatenate([a, none])),
-                    pa.array(np.concatenate([b, none])),
-                    pa.array(np.concatenate([size, found.counts]), pa.int32()),
-                    prefix,
-                    words,
-                ],
-                names,
-            )
+            where = text[own]
+            yield sent(_LINE, where, number[own], (a, b, size), words=words)
+            yield sent(_PREFIX, where, number[own], (a, b, size), prefix, common)
+            yield sent(_TEXT, texts, none - 1, (none, none, found.counts))
             lid += len(where)
 
     schema = T.StructType(
@@ -202,7 +207,9 @@ def _lines(rows: DataFrame, counts: np.ndarray) -> DataFrame:
             T.StructField("b", T.LongType()),
             T.StructField("size", T.IntegerType()),
             T.StructField("prefix", T.ArrayType(T.LongType())),
+            T.StructField("common", T.ArrayType(T.BooleanType())),
             T.StructField("words", T.BinaryType()),
+            T.StructField("kind", T.IntegerType()),
         ]
     )
     return map_arrow(rows, run, schema)
@@ -278,19 +285,24 @@ def jaccard(left: np.ndarray, right: np.ndarray) -> float:
 
 def later_matches(lines: DataFrame, sets: DataFrame) -> DataFrame:
     """(gone, by) for every node that an earlier one matches, perhaps several times."""
-    posted = sets.select("node", "size", F.posexplode("prefix").alias("place", "token"))
-    several = posted.groupBy("token").agg(F.count(F.lit(1)).alias("members"))
-    several = cut_lineage(several.filter("members > 1"), "several")
-    release_shuffles(lines.sparkSession)
-    met = cut_lineage(posted.join(several, "token"), "met")
+    tokens = F.posexplode(F.arrays_zip("prefix", "common")).alias("place", "t")
+    posted = sets.select("node", "size", tokens).select("node", "size", "place", "t.prefix", "t.common")
+    posted = posted.withColumnRenamed("prefix", "token")
+    # Postings of at most COMMON lines are counted where they meet, the others before they do.
+    members = F.count(F.lit(1)).over(Window.partitionBy("token")).alias("members")
+    rare = posted.filter("NOT common").select("node", "size", "place", "token", members).filter("members > 1")
+    common = posted.filter("common").drop("common")
+    several = common.groupBy("token").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    met = cut_lineage(rare.unionByName(common.join(small(several), "token")), "met")
     release_shuffles(lines.sparkSession)
     few = met.filter(F.col("members") <= SMALL)
     pairs = cut_lineage(_pairs(few, few), "pairs")
     found = [_matches(pairs, lines, sets)]
-    discard(several, pairs)
-    large = met.filter(F.col("members") > SMALL)
+    large = cut_lineage(met.filter(F.col("members") > SMALL), "large")
+    discard(pairs, met)
     if not large.isEmpty():
-        found += _large_matches(cut_lineage(large, "large"), lines, sets)
+        found += _large_matches(large, lines, sets)
+    discard(large)
     every = found[0]
     for more in found[1:]:
         every = every.unionAll(more)
@@ -308,20 +320,23 @@ def _large_matches(large: DataFrame, lines: DataFrame, sets: DataFrame) -> list[
     # A row's block: the first holds one row of a token, each further GROWTH times more.
     drawn = F.pmod(F.xxhash64("token", "node"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     block = F.floor(F.log(float(GROWTH), F.greatest(drawn * F.col("members"), F.lit(1.0))))
-    large = cut_lineage(large.withColumn("block", block), "large")
-    pairs = cut_lineage(_pairs(leaders, large), "pairs")
+    blocks = cut_lineage(large.withColumn("block", block), "blocks")
+    pairs = cut_lineage(_pairs(leaders, blocks), "pairs")
     found = [_matches(pairs, lines, sets)]
     discard(leaders, pairs)
-    waiting, number = large, 0
+    waiting, number, done = blocks, 0, []
     while GROWTH**number <= most:
         gone = found[-1].select(F.col("gone").alias("node")).distinct()
         waiting = cut_lineage(waiting.join(gone, "node", "left_anti"), "waiting")
+        discard(*done)
+        done = [waiting]
         if waiting.isEmpty():
             break
-        pairs = cut_lineage(_pairs(large.filter(F.col("block") == number), waiting), "pairs")
+        pairs = cut_lineage(_pairs(blocks.filter(F.col("block") == number), waiting), "pairs")
         found.append(_matches(pairs, lines, sets))
         discard(pairs)
         number += 1
+    discard(blocks, *done)
     return found
 
 
@@ -334,13 +349,22 @@ def repeated_lines(
     if not row_col:
         rows = rows.withColumn("row", F.monotonically_increasing_id())
     rows = rows.select("row", "doc_id", "text")
-    every = cut_lineage(_lines(rows, token_counts(rows)), "lines")
-    lines = every.filter("line >= 0")
+    path = fresh_path(docs.sparkSession, "lines")
+    every = _lines(rows, token_counts(rows))
+    every.write.partitionBy("kind").parquet(path)
+
+    def written(kind: int, *columns: str) -> DataFrame:
+        return read_written(docs.sparkSession, path, every.select(*columns).schema, ("kind", kind))
+
+    place = ["lid", "row", "doc_id", "line", "a", "b"]
+    lines = written(_LINE, *place, "words")
+    prefixes = written(_PREFIX, *place, "size", "prefix", "common")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "line")
     # What all lines of a set share rides along with the first of them.
-    first = F.min(F.struct(place.alias("first"), F.col("lid").alias("node"), "size", "prefix"))
-    sets = cut_lineage(lines.groupBy("a", "b").agg(first.alias("m")).select("a", "b", "m.*"), "sets")
-    release_shuffles(docs.sparkSession)
+    first = F.min(F.struct(place.alias("first"), F.col("lid").alias("node"), "size", "prefix", "common"))
+    sets = prefixes.groupBy("a", "b").agg(first.alias("m")).select("a", "b", "m.*")
+    sets = cut_lineage(sets, "sets")
+    discard(prefixes)
     gone = later_matches(lines, sets).select(F.col("gone").alias("node")).distinct()
     judged = sets.select("a", "b", "node").join(gone.withColumn("gone", F.lit(True)), "node", "left")
     judged = cut_lineage(judged, "judged")
@@ -351,7 +375,8 @@ def repeated_lines(
         .groupBy("row")
         .agg(F.array_sort(F.collect_list("line")).alias("removed"))
     )
-    texts = every.filter("line < 0").select("row", "doc_id", F.col("size").cast("long").alias("n_lines"))
+    texts = written(_TEXT, "row", "doc_id", "size")
+    texts = texts.select("row", "doc_id", F.col("size").cast("long").alias("n_lines"))
     return texts.join(dropped, "row", "left").select(
         "row", "doc_id", "n_lines", F.coalesce("removed", F.array().cast("array<int>")).alias("removed")
     )
