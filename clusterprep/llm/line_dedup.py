@@ -39,6 +39,7 @@ from pyspark.sql import types as T
 
 from clusterprep.functions.columns import column
 from clusterprep.llm.arrays import Words, grams, mix, slabs, text_bytes
+from clusterprep.llm.bucket_counts import bucket_counts, bucket_of
 from clusterprep.llm.rows import map_arrow, picked, small, unused, with_row
 from clusterprep.session import cut_lineage, discard, fresh_path, read_written, release_shuffles
 
@@ -48,7 +49,6 @@ SMALL = 16
 GROWTH = 16
 COMMON = 4096  # lines, by bucket, from which on a token's postings are not counted in one task
 BUCKETS = 1 << 20  # of the token counts: 4 MB when broadcast
-_BLOCK = 1 << 10
 _COMMON = (1 << 16) - 1  # counts from here on are alike
 _LINE, _PREFIX, _TEXT = range(3)
 
@@ -111,34 +111,12 @@ def _whole(share):
 
 
 def _bucket(tokens: np.ndarray) -> np.ndarray:
-    return (tokens & np.uint64(BUCKETS - 1)).astype(np.int64)
+    return bucket_of(tokens, BUCKETS)
 
 
 def token_counts(rows: DataFrame) -> np.ndarray:
-    """How often lines have a token of each bucket: BUCKETS numbers, summed in Spark."""
-
-    def count(batches):
-        counts = np.zeros(BUCKETS, np.int64)
-        for slab in slabs(batches, "text"):
-            found = LineTokens(*text_bytes(slab.column("text")))
-            np.add.at(counts, _bucket(found.token), 1)
-        parts = counts.reshape(-1, _BLOCK)
-        filled = np.flatnonzero(parts.any(axis=1))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(filled), pa.array([parts[n].tobytes() for n in filled], pa.binary())],
-            ["block", "counts"],
-        )
-
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(c, np.int64) for c in table["counts"].to_pylist())
-        return pa.table({"block": table["block"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
-
-    parts = map_arrow(rows.select("text"), count, "block long, counts binary")
-    sums = parts.groupBy("block").applyInArrow(add, "block long, counts binary").toArrow()
-    counts = np.zeros((BUCKETS // _BLOCK, _BLOCK), np.int64)
-    for block, part in zip(sums["block"].to_pylist(), sums["counts"].to_pylist()):
-        counts[block] = np.frombuffer(part, np.int64)
-    return np.minimum(counts.ravel(), 2**31 - 1).astype(np.int32)
+    """How often lines have a token of each bucket."""
+    return bucket_counts(rows, lambda slab: LineTokens(*text_bytes(slab.column("text"))).token, BUCKETS)
 
 
 def _lines(rows: DataFrame, counts: np.ndarray) -> DataFrame:

@@ -7,7 +7,10 @@ keeps them in their text order; texts with the same ordered sample are
 candidates. Order matters, so moved blocks lower the chance to meet, as they
 lower the edit similarity. Texts of at most `SHORT` k-mers take another, exact
 route: they and all texts that can match one meet by every k-mer of their
-prefix, the n - ceil(s n) + 1 of least hash. Texts of similarity s share one.
+prefix, the n - ceil(s n) + 1 rarest. Texts of similarity s share one. How rare
+k-mers are is counted before, by hash bucket, over texts of up to `COUNTED`
+characters; that only orders them, and any order finds all links, but in this
+one a footer that unrelated texts share is in no prefix.
 
 A candidate pair is verified by alignment: the longest common subsequence of
 the labelled k-mers, of which each occurs once, restricted to the diagonal band
@@ -45,6 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clusterprep.llm.arrays import Words, grams, mix, slabs, text_bytes
+from clusterprep.llm.bucket_counts import bucket_counts, bucket_of
 from clusterprep.llm.components import components
 from clusterprep.llm.rows import map_arrow, picked, small, with_row, without
 from clusterprep.session import cut_lineage, discard
@@ -54,6 +58,8 @@ BANDS = 24
 ELL = 4
 SIMILARITY = 0.8
 SHORT = 40
+BUCKETS = 1 << 20  # of the counts of short texts' k-mers: 4 MB when broadcast
+COUNTED = 2000
 SMALL = 32
 BLOCK = 256
 BLOCK_KMERS = 1 << 17
@@ -98,17 +104,38 @@ def ordered_samples(kmers: np.ndarray) -> np.ndarray:
     return mix(code).view(np.int64)
 
 
-def meeting_keys(kmers: np.ndarray) -> np.ndarray:
+def meeting_keys(kmers: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The keys by which a text meets others: its samples, its prefix, or both."""
     size, keys = len(kmers), []
     if size > SHORT:
         keys.append(ordered_samples(kmers))
-    if SIMILARITY * size <= SHORT:
+    if _meets_by_prefix(size):
         needed = int(np.ceil(SIMILARITY * size - 1e-9))
-        keys.append(np.sort(mix(kmers))[: size - needed + 1].view(np.int64))
+        mixed = mix(kmers)
+        rarest = np.lexsort((mixed, counts[bucket_of(mixed, len(counts))]))
+        keys.append(mixed[rarest[: size - needed + 1]].view(np.int64))
     return np.concatenate(keys)
 
 
+def _meets_by_prefix(size: int) -> bool:
+    return SIMILARITY * size <= SHORT
+
+
+def kmer_counts(docs: DataFrame) -> np.ndarray:
+    """How often texts that meet by their prefix have a k-mer of each bucket."""
+
+    def values(slab):
+        words = Words(*text_bytes(slab.column("text")))
+        found = [np.zeros(0, np.uint64)]
+        for n in range(slab.num_rows):
+            own = words.hash[words.of[n] : words.of[n + 1]]
+            if _meets_by_prefix(len(own) - K + 1):
+                found.append(labelled_kmers((own >> np.uint64(32)).astype(np.uint32)))
+        return mix(np.concatenate(found))
+
+    return bucket_counts(docs.filter(F.length("text") <= COUNTED), values, BUCKETS)
+
+
 def alignment(left: np.ndarray, right: np.ndarray) -> float:
     """Similarity of two runs of labelled k-mers by their best alignment inside the band."""
     total = len(left) + len(right)
@@ -143,6 +170,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
     `same` is equal for texts of equal words, `size` the number of k-mers.
     """
+    counts = docs.sparkSession.sparkContext.broadcast(kmer_counts(docs))
 
     def run(batches):
         for slab in slabs(batches, "text"):
@@ -161,7 +189,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 kmers = labelled_kmers(short)
                 same.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest())
                 sizes.append(len(kmers))
-                keys.append(meeting_keys(kmers))
+                keys.append(meeting_keys(kmers, counts.value))
                 kept.append(short.tobytes())
             yield pa.RecordBatch.from_arrays(
                 [

@@ -120,9 +120,11 @@ def test_long_text_and_empty_table(spark):
     assert order_minhash.near_classes(empty(spark)).count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("most,hub", [(500_000, 1000), (0, 2), (4, 1)])
+def test_components(spark, most, hub):
     rng = random.Random(7)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(160)] + [(i, i + 1) for i in range(400, 460)]
+    edges += [(500, i) for i in range(501, 560)] + [(i, 700) for i in range(600, 660)]
     root = {}
 
     def top(i):
@@ -135,7 +137,7 @@ def test_components(spark):
         if a != b:
             root[b] = a
     nodes = {n for e in edges for n in e}
-    found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long"), max(1, most), hub).collect()}
     assert found == {n: top(n) for n in nodes if top(n) != n}
 
 
@@ -183,3 +185,35 @@ def test_short_texts_meet_exactly(spark):
         texts += [text, text + " more"]
     found = by_id(order_minhash.near_classes(docs(spark, texts)), "class_id", "n_links")
     assert [found[i] for i in range(len(texts))] == [(i // 2 * 2, 1) for i in range(len(texts))]
+
+
+def footers(rng, count):
+    footer = " ".join(f"footer{i}" for i in range(11))
+    return [" ".join(f"w{rng.randrange(10**6)}" for _ in range(17)) + " " + footer for _ in range(count)]
+
+
+def test_a_common_footer_is_no_meeting_place(spark):
+    """Texts that share a footer and nothing else have no bucket in common."""
+    rng = random.Random(4)
+    few = footers(rng, 150)
+    few += [t + " end" for t in few[:40]] + [" ".join(few[0].split()[:20]), few[1] + " " + few[2]]
+    found = by_id(order_minhash.near_classes(docs(spark, few)), "class_id", "n_links")
+    assert [found[i] for i in range(len(few))] == list(zip(classes(few), links(few)))
+
+    def buckets(count):
+        rows = docs(spark, footers(rng, count)).select("row", "doc_id", "text")
+        keys = order_minhash.signatures(rows).selectExpr("explode(keys) AS key").groupBy("key").count()
+        return keys.agg({"count": "max"}).first()[0]
+
+    assert buckets(4000) <= 2
+
+
+def test_any_order_of_kmers_finds_all_links(spark, monkeypatch):
+    """Counts only order the prefixes: buckets that all k-mers share lose nothing."""
+    monkeypatch.setattr(order_minhash, "COUNTED", 40)
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(60)}" for _ in range(45)]
+    texts = [" ".join(base[rng.randint(0, 4) : 45 - rng.randint(0, 4)]) for _ in range(40)]
+    texts = list(dict.fromkeys(texts + list(variants(rng, " ".join(base), 30, 2))))
+    found = by_id(order_minhash.near_classes(docs(spark, texts)), "class_id", "n_links")
+    assert [found[i] for i in range(len(texts))] == list(zip(classes(texts), links(texts)))
