@@ -99,6 +99,16 @@ def weighted(features: np.ndarray, weights: np.ndarray) -> np.ndarray:
     )
 
 
+def nearest(cosines: np.ndarray, count: int) -> np.ndarray:
+    """Columns of the `count` largest values of each row, in their order; the earlier of equal ones."""
+    least = np.partition(cosines, -count, axis=1)[:, -count][:, None]
+    chosen = cosines >= least
+    for row in np.flatnonzero(chosen.sum(axis=1) > count):
+        equal = np.flatnonzero(cosines[row] == least[row])
+        chosen[row, equal[count - int((cosines[row] > least[row]).sum()) :]] = False
+    return np.nonzero(chosen)[1].reshape(len(cosines), count)
+
+
 @dataclass(frozen=True)
 class QualityModel:
     """Feature weights, projection (features x dimensions), reference vectors, labels, prior."""
@@ -122,7 +132,7 @@ class QualityModel:
             best = np.concatenate([best, cosines], axis=1)
             mark = np.concatenate([mark, labels], axis=1)
             if best.shape[1] > NEIGHBOURS:
-                top = np.argpartition(-best, NEIGHBOURS - 1, axis=1)[:, :NEIGHBOURS]
+                top = nearest(best, NEIGHBOURS)
                 best = np.take_along_axis(best, top, axis=1)
                 mark = np.take_along_axis(mark, top, axis=1)
         weight = np.clip(best, 0, 1).astype(np.float64) ** SHARPNESS
