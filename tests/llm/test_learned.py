@@ -45,6 +45,47 @@ def test_language_scores_are_those_of_plain_naive_bayes(spark):
         assert score[0] == pytest.approx(chances.max() / chances.sum(), rel=1e-4)
 
 
+def plain_buckets(text):
+    """N-grams of a text, one letter at a time, in plain integers."""
+
+    def bucket(value):
+        value ^= value >> 15
+        value = value * 0x2C1B3C6D % 2**32
+        value ^= value >> 13
+        return value % language_id.BUCKETS
+
+    found = []
+    letters = [ord(c) if c.isalpha() else 0 for c in text.lower()]
+    for n, here in enumerate(letters):
+        if not here:
+            continue
+        before = letters[n - 1] if n else 0
+        after = letters[n + 1] if n + 1 < len(letters) else 0
+        one = here * 0x9E3779B1 % 2**32
+        two = one ^ ((before * 0x85EBCA6B + 1) % 2**32)
+        three = (two * 0x27D4EB2F + after * 0xC2B2AE35 + 2) % 2**32
+        found += [bucket(one), bucket(two), bucket(three)]
+    return found
+
+
+def test_training_counts_are_those_of_single_letters(spark):
+    rng = random.Random(8)
+    letters = "abcÄßéΣ 1-,.\n😀"
+    rows = [
+        (i, "".join(rng.choice(letters) for _ in range(rng.randint(0, 60))), rng.choice(["x", "y"]))
+        for i in range(80)
+    ]
+    model = language_id.fit_language_model(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    for k, lang in enumerate(["x", "y"]):
+        counts = np.full(language_id.BUCKETS, language_id.SMOOTHING)
+        for _, text, own in rows:
+            if own == lang:
+                for bucket in plain_buckets(text):
+                    counts[bucket] += 1
+        assert model.log_likelihood[k] == pytest.approx(np.log(counts / counts.sum()), rel=1e-4)
+        assert model.log_prior[k] == pytest.approx(np.log(sum(r[2] == lang for r in rows) / 80))
+
+
 def test_batches_do_not_change_language_scores(spark):
     model = language_id.fit_language_model(labelled(spark))
     texts = ["kalo", "", "zu", "x", "12", "lo mi"]
@@ -100,6 +141,24 @@ def test_votes_are_exact(spark, monkeypatch):
         assert score == pytest.approx(total / (weight.sum() + quality.PRIOR_WEIGHT), rel=1e-4)
 
 
+def test_of_equal_references_the_earlier_vote(monkeypatch):
+    """Many equal references with mixed labels, in blocks of any size."""
+    rng = np.random.default_rng(3)
+    three = np.eye(4, dtype=np.float32)[:3]
+    which = rng.integers(0, 3, 400)
+    labels = rng.integers(0, 2, 400).astype(np.float32)
+    model = quality.QualityModel(np.ones(1), np.ones((1, 1)), three[which], labels, 0.5)
+    vector = np.array([[0.8, 0.6, 0, 0]], np.float32)
+    nearest = [*np.flatnonzero(which == 0), *np.flatnonzero(which == 1), *np.flatnonzero(which == 2)]
+    nearest = np.array(nearest)[: quality.NEIGHBOURS]
+    weight = (three[which[nearest]] @ vector[0]).astype(float) ** quality.SHARPNESS
+    total = (weight * labels[nearest]).sum() + quality.PRIOR_WEIGHT * 0.5
+    for block in (5, 64, 1000):
+        monkeypatch.setattr(quality, "BLOCK", block)
+        got = model.vote(vector)[0]
+        assert got == pytest.approx(total / (weight.sum() + quality.PRIOR_WEIGHT), rel=1e-5)
+
+
 def test_held_out_rule(spark):
     import zlib
 

@@ -133,3 +133,56 @@ def test_matrices_round_trip(spark, monkeypatch, tmp_path, buffer):
         expected = np.concatenate([np.arange(b - a) for a, b in zip(ends, ends[1:])])
         assert line[: row["n_tokens"]].tolist() == expected.tolist()
     assert len({r["sequence_id"] for r in rows}) == len(rows)
+
+
+def optimum(lengths, capacity):
+    """The least number of sequences, by trying every place for every piece."""
+    best = [len(lengths)]
+    ordered = sorted(lengths, reverse=True)
+
+    def place(n, rooms):
+        if len(rooms) >= best[0]:
+            return
+        if n == len(ordered):
+            best[0] = len(rooms)
+            return
+        for i in {room: i for i, room in enumerate(rooms) if room >= ordered[n]}.values():
+            rooms[i] -= ordered[n]
+            place(n + 1, rooms)
+            rooms[i] += ordered[n]
+        rooms.append(capacity - ordered[n])
+        place(n + 1, rooms)
+        rooms.pop()
+
+    place(0, [])
+    return best[0]
+
+
+def test_small_packings_are_best_possible(spark):
+    rng = random.Random(12)
+    found, least = 0, 0
+    for case in range(6):
+        lengths = [rng.randint(3, 18) for _ in range(11)]
+        schema = "key long, doc_id long, piece int, start long, length long, ids_crc32 long"
+        rows = [(n, n, 0, 0, length, 0) for n, length in enumerate(lengths)]
+        packed = grouping.pack_pieces(spark.createDataFrame(rows, schema), 20).collect()
+        found += len({r["sequence_id"] for r in packed})
+        least += optimum(lengths, 20)
+    assert found == least
+
+
+def test_placement_is_plain_best_fit():
+    """Each piece goes to the fullest open sequence that has room for it."""
+    rng = random.Random(13)
+    for _ in range(200):
+        packer, rooms, width = packing.Packer(30), [], 30
+        for n in range(40):
+            need = rng.randint(1, 30)
+            packer.place((n, np.zeros(need, np.uint16)))
+            fitting = [room for room in rooms if room >= need]
+            if fitting:
+                rooms[rooms.index(min(fitting))] -= need
+            else:
+                rooms.append(width - need)
+            open_ = sorted(room for room, some in packer.by_room.items() for _ in some)
+            assert open_ == sorted(rooms)

@@ -21,7 +21,7 @@ def test_query(spark, duck, name):
 
 def test_all_operators_are_registered():
     names = [n.split("_")[0] for n in driver.queries() if n.startswith("op")]
-    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{n}" for n in range(1, 11)]
+    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{n}" for n in range(1, 14)]
     assert "pipeline" in driver.queries()
 
 
