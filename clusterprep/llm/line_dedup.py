@@ -14,6 +14,10 @@ has at least s times the larger's tokens (length filter); and what is left
 after the places of the shared token must still suffice (positional filter).
 What passes is verified on the whole sets, so no match is missed or invented.
 
+Lines of equal words, by 128 bits of hashes, are one node. The words of the
+nodes that have a candidate are read from the texts again, by these hashes, so
+that the words of all lines are never stored.
+
 Counting by bucket changes only the order, never the result. A token shared by
 more than `SMALL` lines' prefixes is compared with the earliest line first;
 only lines that don't go by that are compared with further lines, in blocks
@@ -38,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clusterprep.functions.columns import column
-from clusterprep.llm.arrays import Words, grams, mix, slabs, text_bytes
+from clusterprep.llm.arrays import Words, grams, powers, slabs, text_bytes
 from clusterprep.llm.bucket_counts import bucket_counts, bucket_of
 from clusterprep.llm.rows import map_arrow, picked, small, unused, with_row
 from clusterprep.session import cut_lineage, discard, fresh_path, read_written, release_shuffles
@@ -53,12 +57,12 @@ _COMMON = (1 << 16) - 1  # counts from here on are alike
 _LINE, _PREFIX, _TEXT = range(3)
 
 
-class LineTokens:
-    """Words of a slab's texts by line, and the tokens of the lines.
+class Lines:
+    """Words of a slab's texts by line.
 
     Lines are numbered through the slab; `counts` has the lines of each text,
-    `of` the first word of each line (n + 1 values). `line` and `token` list the
-    tokens in text order, repeated ones too.
+    `line_of` the line of each word, `sizes` the words of each line and `of`
+    the first one (n + 1 values). `own` are the lines with words.
     """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
@@ -68,9 +72,29 @@ class LineTokens:
         self.words = words = Words(data, offsets)
         text_of = np.repeat(np.arange(texts), np.diff(words.of))
         # Each text starts a line, and so does the byte after each line feed.
-        line_of = np.searchsorted(feeds, words.start) + text_of
-        sizes = np.bincount(line_of, minlength=int(self.counts.sum()))
-        self.of = np.concatenate([[0], np.cumsum(sizes)])
+        self.line_of = np.searchsorted(feeds, words.start) + text_of
+        self.sizes = np.bincount(self.line_of, minlength=int(self.counts.sum()))
+        self.of = np.concatenate([[0], np.cumsum(self.sizes)])
+        self.own = np.flatnonzero(self.sizes)
+
+    def keys(self) -> tuple[np.ndarray, np.ndarray]:
+        """Two hashes of the words, in their order, of each line that has any."""
+        hashes, starts = self.words.hash, self.of[self.own]
+        if not len(starts):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        place = np.arange(len(hashes)) - np.repeat(starts, self.sizes[self.own])
+        count = int(self.sizes.max())
+        a = np.add.reduceat(hashes * powers(count)[place], starts)
+        b = np.add.reduceat(hashes * powers(count, down=True)[place], starts)
+        return a.view(np.int64), b.view(np.int64)
+
+
+class LineTokens(Lines):
+    """The tokens of the lines too: `line` and `token` list them in text order, repeated ones too."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        super().__init__(data, offsets)
+        words, line_of, sizes = self.words, self.line_of, self.sizes
         codes = grams(words.hash, K)
         inside = np.flatnonzero(line_of[: len(codes)] == line_of[K - 1 :][: len(codes)])
         line, token = [line_of[inside]], [codes[inside]]
@@ -122,7 +146,7 @@ def token_counts(rows: DataFrame) -> np.ndarray:
 def _lines(rows: DataFrame, counts: np.ndarray) -> DataFrame:
     """Rows of three kinds: a line with words, its prefix, and a text, whose size is its lines."""
     shared = rows.sparkSession.sparkContext.broadcast(counts)
-    names = ["lid", "row", "doc_id", "line", "a", "b", "size", "prefix", "common", "words", "kind"]
+    names = ["lid", "row", "doc_id", "line", "a", "b", "size", "prefix", "common", "kind"]
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         lid = TaskContext.get().partitionId() << 40
@@ -133,25 +157,15 @@ def _lines(rows: DataFrame, counts: np.ndarray) -> DataFrame:
             line, token = found.ordered(shared.value)
             begin = np.flatnonzero(np.diff(line, prepend=-1))
             size = np.diff(np.append(begin, len(line)))
-            own = line[begin]
-            if len(begin):
-                a = np.add.reduceat(mix(token), begin).view(np.int64)
-                b = np.add.reduceat(mix(token ^ np.uint64(0x5851F42D4C957F2D)), begin).view(np.int64)
-            else:
-                a = b = np.zeros(0, np.int64)
+            own = found.own  # each has a token
+            a, b = found.keys()
             probe = size - _whole(SIMILARITY * size) + 1
             at = np.repeat(begin - (np.cumsum(probe) - probe), probe) + np.arange(probe.sum())
             ends = pa.array(np.concatenate([[0], np.cumsum(probe)]), pa.int32())
             prefix = pa.ListArray.from_arrays(ends, pa.array(token[at].view(np.int64)))
             common = pa.ListArray.from_arrays(ends, pa.array(shared.value[_bucket(token[at])] >= COMMON))
-            short = (found.words.hash >> np.uint64(32)).astype(np.uint32)
-            # Every word is in a line of `own`, so the lines' words follow each other.
-            borders = np.append(found.of[own], len(short)) * 4
-            words = pa.Array.from_buffers(
-                pa.binary(), len(own), [None, pa.py_buffer(borders.astype(np.int32)), pa.py_buffer(short)]
-            )
 
-            def sent(kind, where, line, numbers, prefix=None, common=None, words=None):
+            def sent(kind, where, line, numbers, prefix=None, common=None):
                 count = len(where)
                 columns = [
                     pa.array(np.arange(lid, lid + count)),
@@ -162,7 +176,6 @@ def _lines(rows: DataFrame, counts: np.ndarray) -> DataFrame:
                     pa.array(numbers[2], pa.int32()),
                     pa.nulls(count, pa.list_(pa.int64())) if prefix is None else prefix,
                     pa.nulls(count, pa.list_(pa.bool_())) if common is None else common,
-                    pa.nulls(count, pa.binary()) if words is None else words,
                     pa.array(np.full(count, kind), pa.int32()),
                 ]
                 return pa.RecordBatch.from_arrays(columns, names)
@@ -170,7 +183,7 @@ def _lines(rows: DataFrame, counts: np.ndarray) -> DataFrame:
             texts = np.arange(slab.num_rows)
             none = np.zeros(slab.num_rows, np.int64)
             where = text[own]
-            yield sent(_LINE, where, number[own], (a, b, size), words=words)
+            yield sent(_LINE, where, number[own], (a, b, size))
             yield sent(_PREFIX, where, number[own], (a, b, size), prefix, common)
             yield sent(_TEXT, texts, none - 1, (none, none, found.counts))
             lid += len(where)
@@ -186,13 +199,34 @@ def _lines(rows: DataFrame, counts: np.ndarray) -> DataFrame:
             T.StructField("size", T.IntegerType()),
             T.StructField("prefix", T.ArrayType(T.LongType())),
             T.StructField("common", T.ArrayType(T.BooleanType())),
-            T.StructField("words", T.BinaryType()),
             T.StructField("kind", T.IntegerType()),
         ]
     )
     return map_arrow(rows, run, schema)
 
 
+def _words(rows: DataFrame) -> DataFrame:
+    """(a, b, words): the words' hashes of each line, equal lines once a slab."""
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        for slab in slabs(batches, "text"):
+            found = Lines(*text_bytes(slab.column("text")))
+            a, b = found.keys()
+            short = (found.words.hash >> np.uint64(32)).astype(np.uint32)
+            # Every word is in a line of `own`, so the lines' words follow each other.
+            borders = np.append(found.of[found.own], len(short)) * 4
+            words = pa.Array.from_buffers(
+                pa.binary(), len(a), [None, pa.py_buffer(borders.astype(np.int32)), pa.py_buffer(short)]
+            )
+            by = np.lexsort((b, a))
+            new = np.ones(len(by), bool)
+            new[1:] = (np.diff(a[by]) != 0) | (np.diff(b[by]) != 0)
+            lines = pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), words], ["a", "b", "words"])
+            yield lines if new.all() else lines.take(pa.array(by[new]))
+
+    return map_arrow(rows.select("text"), run, "a long, b long, words binary")
+
+
 def _tokens_needed(part: float, size: Column) -> Column:
     """`_whole` as a column."""
     return F.ceil(part * size - 1e-9)
@@ -221,13 +255,14 @@ def _pairs(x: DataFrame, y: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _matches(pairs: DataFrame, lines: DataFrame, sets: DataFrame) -> DataFrame:
+def _ends(pairs: DataFrame) -> DataFrame:
+    """The nodes of the pairs, perhaps several times."""
+    return pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node")))
+
+
+def _matches(pairs: DataFrame, words: DataFrame) -> DataFrame:
     """(gone, by): the later and the earlier line of each pair that matches."""
-    ends = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node")))
-    nodes = ends.distinct()
-    nodes = sets.select("node", "first").join(nodes, "node")
-    words = lines.select(F.col("lid").alias("node"), "words").join(small(nodes), "node")
-    words = cut_lineage(words, "words")
+    words = cut_lineage(words.join(small(_ends(pairs).distinct()), "node"), "words")
     left = words.select(F.col("node").alias("a"), F.col("words").alias("left"), F.col("first").alias("x"))
     right = words.select(F.col("node").alias("b"), F.col("words").alias("right"), F.col("first").alias("y"))
     joined = pairs.join(left, "a").join(right, "b").select(
@@ -261,7 +296,7 @@ def jaccard(left: np.ndarray, right: np.ndarray) -> float:
     return both / (len(left) + len(right) - both)
 
 
-def later_matches(lines: DataFrame, sets: DataFrame) -> DataFrame:
+def later_matches(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """(gone, by) for every node that an earlier one matches, perhaps several times."""
     tokens = F.posexplode(F.arrays_zip("prefix", "common")).alias("place", "t")
     posted = sets.select("node", "size", tokens).select("node", "size", "place", "t.prefix", "t.common")
@@ -272,22 +307,30 @@ def later_matches(lines: DataFrame, sets: DataFrame) -> DataFrame:
     common = posted.filter("common").drop("common")
     several = common.groupBy("token").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     met = cut_lineage(rare.unionByName(common.join(small(several), "token")), "met")
-    release_shuffles(lines.sparkSession)
+    release_shuffles(rows.sparkSession)
     few = met.filter(F.col("members") <= SMALL)
     pairs = cut_lineage(_pairs(few, few), "pairs")
-    found = [_matches(pairs, lines, sets)]
     large = cut_lineage(met.filter(F.col("members") > SMALL), "large")
-    discard(pairs, met)
+    discard(met)
+    nodes = _ends(pairs).unionAll(large.select("node")).distinct()
+    nodes = cut_lineage(sets.select("node", "a", "b", "first").join(nodes, "node"), "nodes")
+    # Equal lines have equal words, so any of them will do.
+    words = _words(rows).join(small(nodes), ["a", "b"])
+    words = words.groupBy("node").agg(F.any_value("first").alias("first"), F.any_value("words").alias("words"))
+    words = cut_lineage(words, "words")
+    discard(nodes)
+    found = [_matches(pairs, words)]
+    discard(pairs)
     if not large.isEmpty():
-        found += _large_matches(large, lines, sets)
-    discard(large)
+        found += _large_matches(large, words, sets)
+    discard(large, words)
     every = found[0]
     for more in found[1:]:
         every = every.unionAll(more)
     return every.distinct()
 
 
-def _large_matches(large: DataFrame, lines: DataFrame, sets: DataFrame) -> list[DataFrame]:
+def _large_matches(large: DataFrame, words: DataFrame, sets: DataFrame) -> list[DataFrame]:
     """Matches among the lines of tokens that many lines share."""
     ordered = large.join(sets.select("node", "first"), "node")
     leaders = ordered.groupBy("token").agg(
@@ -300,7 +343,7 @@ def _large_matches(large: DataFrame, lines: DataFrame, sets: DataFrame) -> list[
     block = F.floor(F.log(float(GROWTH), F.greatest(drawn * F.col("members"), F.lit(1.0))))
     blocks = cut_lineage(large.withColumn("block", block), "blocks")
     pairs = cut_lineage(_pairs(leaders, blocks), "pairs")
-    found = [_matches(pairs, lines, sets)]
+    found = [_matches(pairs, words)]
     discard(leaders, pairs)
     waiting, number, done = blocks, 0, []
     while GROWTH**number <= most:
@@ -311,7 +354,7 @@ def _large_matches(large: DataFrame, lines: DataFrame, sets: DataFrame) -> list[
         if waiting.isEmpty():
             break
         pairs = cut_lineage(_pairs(blocks.filter(F.col("block") == number), waiting), "pairs")
-        found.append(_matches(pairs, lines, sets))
+        found.append(_matches(pairs, words))
         discard(pairs)
         number += 1
     discard(blocks, *done)
@@ -335,7 +378,7 @@ def repeated_lines(
         return read_written(docs.sparkSession, path, every.select(*columns).schema, ("kind", kind))
 
     place = ["lid", "row", "doc_id", "line", "a", "b"]
-    lines = written(_LINE, *place, "words")
+    lines = written(_LINE, *place)
     prefixes = written(_PREFIX, *place, "size", "prefix", "common")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "line")
     # What all lines of a set share rides along with the first of them.
@@ -343,7 +386,7 @@ def repeated_lines(
     sets = prefixes.groupBy("a", "b").agg(first.alias("m")).select("a", "b", "m.*")
     sets = cut_lineage(sets, "sets")
     discard(prefixes)
-    gone = later_matches(lines, sets).select(F.col("gone").alias("node")).distinct()
+    gone = later_matches(rows, sets).select(F.col("gone").alias("node")).distinct()
     judged = sets.select("a", "b", "node").join(gone.withColumn("gone", F.lit(True)), "node", "left")
     judged = cut_lineage(judged, "judged")
     dropped = (
