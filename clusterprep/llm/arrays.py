@@ -83,8 +83,11 @@ class Words:
     """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        self.data = LOWER[data]
-        inside = WORD_BYTE[self.data]
+        # Bytes wrap round, so one comparison tests a range; faster than a table.
+        self.data = data | (((data - np.uint8(65)) < 26).view(np.uint8) << np.uint8(5))
+        inside = (self.data - np.uint8(97)) < 26
+        inside |= (data - np.uint8(48)) < 10
+        inside |= data >= 128
         first = inside.copy()
         first[1:] &= ~inside[:-1]
         borders = offsets[1:-1]
@@ -100,12 +103,14 @@ class Words:
     def _hashes(self) -> np.ndarray:
         if not len(self.start):
             return np.zeros(0, np.uint64)
-        terms = (self.data.astype(np.uint64) + np.uint64(1)) * powers(len(self.data))
-        before = terms[self.start]
-        total = np.cumsum(terms, dtype=np.uint64)
-        sums = total[self.end - 1] - total[self.start] + before
-        sums *= powers(len(self.data), down=True)[self.start]
-        return mix(sums + (self.end - self.start).astype(np.uint64))
+        terms = np.add(self.data, np.uint64(1), dtype=np.uint64)
+        terms *= powers(len(terms))
+        total = np.zeros(len(terms) + 1, np.uint64)
+        np.cumsum(terms, out=total[1:])
+        sums = total[self.end] - total[self.start]
+        sums *= powers(len(terms), down=True)[self.start]
+        sums += (self.end - self.start).astype(np.uint64)
+        return mix(sums)
 
     def text(self, first: int, last: int) -> bytes:
         """Words first to last - 1, joined by spaces."""
