@@ -44,7 +44,7 @@ from pyspark.sql import types as T
 from clusterprep.functions.columns import column
 from clusterprep.llm.arrays import Words, grams, powers, slabs, text_bytes
 from clusterprep.llm.bucket_counts import bucket_counts, bucket_of
-from clusterprep.llm.rows import map_arrow, picked, small, unused, with_row
+from clusterprep.llm.rows import BROADCAST_ROWS, map_arrow, picked, small, unused, with_row
 from clusterprep.session import cut_lineage, discard, fresh_path, read_written, release_shuffles
 
 K = 5
@@ -205,8 +205,17 @@ def _lines(rows: DataFrame, counts: np.ndarray) -> DataFrame:
     return map_arrow(rows, run, schema)
 
 
-def _words(rows: DataFrame) -> DataFrame:
-    """(a, b, words): the words' hashes of each line, equal lines once a slab."""
+def _words(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, first, words): the words' hashes of the lines of the nodes.
+
+    Few nodes, as counted, are sent to the tasks, which then leave other lines
+    out before the join.
+    """
+    few = nodes.count() <= BROADCAST_ROWS
+    wanted = None
+    if few:
+        sent = np.unique(nodes.select("a").toArrow()["a"].to_numpy())
+        wanted = rows.sparkSession.sparkContext.broadcast(sent)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for slab in slabs(batches, "text"):
@@ -219,12 +228,19 @@ def _words(rows: DataFrame) -> DataFrame:
                 pa.binary(), len(a), [None, pa.py_buffer(borders.astype(np.int32)), pa.py_buffer(short)]
             )
             by = np.lexsort((b, a))
-            new = np.ones(len(by), bool)
-            new[1:] = (np.diff(a[by]) != 0) | (np.diff(b[by]) != 0)
+            taken = np.ones(len(by), bool)
+            # Equal lines are sent once a slab.
+            taken[1:] = (np.diff(a[by]) != 0) | (np.diff(b[by]) != 0)
+            if wanted is not None and len(wanted.value):
+                at = np.searchsorted(wanted.value, a[by])
+                taken &= wanted.value[np.minimum(at, len(wanted.value) - 1)] == a[by]
             lines = pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), words], ["a", "b", "words"])
-            yield lines if new.all() else lines.take(pa.array(by[new]))
+            yield lines.take(pa.array(by[taken]))
 
-    return map_arrow(rows.select("text"), run, "a long, b long, words binary")
+    found = map_arrow(rows.select("text"), run, "a long, b long, words binary")
+    # Equal lines have equal words, so any of them will do.
+    found = found.join(F.broadcast(nodes) if few else nodes, ["a", "b"])
+    return found.groupBy("node").agg(F.any_value("first").alias("first"), F.any_value("words").alias("words"))
 
 
 def _tokens_needed(part: float, size: Column) -> Column:
@@ -314,10 +330,7 @@ def later_matches(rows: DataFrame, sets: DataFrame) -> DataFrame:
     discard(met)
     nodes = _ends(pairs).unionAll(large.select("node")).distinct()
     nodes = cut_lineage(sets.select("node", "a", "b", "first").join(nodes, "node"), "nodes")
-    # Equal lines have equal words, so any of them will do.
-    words = _words(rows).join(small(nodes), ["a", "b"])
-    words = words.groupBy("node").agg(F.any_value("first").alias("first"), F.any_value("words").alias("words"))
-    words = cut_lineage(words, "words")
+    words = cut_lineage(_words(rows, nodes), "words")
     discard(nodes)
     found = [_matches(pairs, words)]
     discard(pairs)

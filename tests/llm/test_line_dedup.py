@@ -1,9 +1,12 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from clusterprep.llm import line_dedup
+from clusterprep.llm.arrays import text_bytes
 from tests.llm.frames import docs, empty
 
 
@@ -89,3 +92,22 @@ def test_repeated_rows_and_empty_table(spark):
     frame = docs(spark, ["one line"] * 5, [7] * 5)
     assert sorted(len(r["removed"]) for r in line_dedup.repeated_lines(frame).collect()) == [0, 1, 1, 1, 1]
     assert line_dedup.repeated_lines(empty(spark)).count() == 0
+
+
+def test_words_of_candidates_by_a_shuffled_join(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", 0)
+    texts = corpus(9, 8, 6, 50)
+    assert {i: r for i, (_, r) in found(docs(spark, texts)).items()} == brute(texts)
+
+
+def test_keys_tell_lines_by_their_words_in_order():
+    texts = ["a b\nb a\nA, B!\n\na\nb\na a", None, "a b", "ä b\n--\nab"]
+    lines = line_dedup.Lines(*text_bytes(pa.array(texts)))
+    keys = list(zip(*map(np.ndarray.tolist, lines.keys())))
+    words = []
+    for text in texts:
+        for line in (text or "").split("\n"):
+            own = tuple(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", line.lower()))
+            words += [own] if own else []
+    assert len(keys) == len(words)
+    assert len(set(keys)) == len(set(words)) == len(set(zip(keys, words)))
