@@ -97,6 +97,9 @@ class PieceEncoder:
             self._old, self._young, self._chars = self._young, {}, 0
         return ids
 
+    def decode(self, ids: list[list[int]]) -> list[str]:
+        return self.library.decode(ids, num_threads=1)
+
     def _look_up(self, chunks: set[str]) -> None:
         """Put all of these chunks into the younger generation."""
         missing = chunks.difference(self._young)
@@ -114,21 +117,32 @@ class PieceEncoder:
 
 
 def encode_pieces(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False
 ) -> DataFrame:
-    """One row per row of `docs`: doc_id, ids (array of int)."""
+    """One row per row of `docs`: doc_id, ids (array of int).
+
+    With `decoded` also text, which the ids stand for: the same as `decode_pieces`
+    of the result, without another way of all ids to the workers.
+    """
 
     def run(batches):
+        encoder = piece_encoder(path)
         for slab in slabs(batches, "text"):
             texts = [text or "" for text in slab.column("text").to_pylist()]
-            ids = piece_encoder(path).encode(texts)
+            ids = encoder.encode(texts)
             ends = np.concatenate([[0], np.cumsum([len(i) for i in ids])])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
-            yield pa.RecordBatch.from_arrays([slab.column("doc_id"), lists], ["doc_id", "ids"])
+            columns, names = [slab.column("doc_id"), lists], ["doc_id", "ids"]
+            if decoded:
+                columns.append(pa.array(encoder.decode([i.tolist() for i in ids]), pa.string()))
+                names.append("text")
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     rows = picked(docs, doc_id=id_col, text=text_col)
-    ids = T.StructField("ids", T.ArrayType(T.IntegerType()))
-    return map_arrow(rows, run, T.StructType([rows.schema["doc_id"], ids]))
+    fields = [rows.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    if decoded:
+        fields.append(T.StructField("text", T.StringType()))
+    return map_arrow(rows, run, T.StructType(fields))
 
 
 def decode_pieces(
@@ -148,10 +162,8 @@ def decode_pieces(
                 size = max(1, _rows_of(batch.column("ids").slice(at)))
                 part = batch.slice(at, size)
                 ids = [i or [] for i in part.column("ids").to_pylist()]
-                texts = piece_encoder(path).library.decode(ids, num_threads=1)
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "text"]
-                )
+                texts = pa.array(piece_encoder(path).decode(ids), pa.string())
+                yield pa.RecordBatch.from_arrays([*part.columns, texts], ["doc_id", "ids", "text"])
                 at += size
 
     rows = picked(encoded, doc_id=id_col, ids=ids_col)

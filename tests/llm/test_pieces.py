@@ -32,6 +32,8 @@ def test_ids_and_texts_equal_the_library(spark):
     for i, text in enumerate(texts):
         ids = LIBRARY.encode(text or "")
         assert found[i] == (ids, LIBRARY.decode(ids)), text
+    both = pieces.encode_pieces(docs(spark, texts), PATH, decoded=True)
+    assert by_id(both, "ids", "text") == found
 
 
 def test_whole_table(spark, sf_dir):
