@@ -16,6 +16,9 @@ from clusterprep.llm.tokens import word_encoder
 
 END_ID = 0  # follows each document
 
+# Text bytes encoded together: different words are merged once for all of them.
+TOGETHER = 1 << 23
+
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces of a document; all but the last are full."""
@@ -42,7 +45,7 @@ def token_pieces(
 
     def run(batches):
         key = TaskContext.get().partitionId() << 40
-        for slab in slabs(batches, "text"):
+        for slab in slabs(batches, "text", TOGETHER):
             encoded = word_encoder(vocabulary).encode([t or "" for t in slab.column("text").to_pylist()])
             of, piece, start, length, crc, raw = [], [], [], [], [], []
             for n, ids in enumerate(encoded):

@@ -10,8 +10,10 @@ import base64
 import json
 import re
 import unicodedata
+from itertools import chain, compress
 
 import numpy as np
+import pyarrow as pa
 import regex
 import tiktoken
 from tokenizers import Tokenizer
@@ -66,17 +68,17 @@ class WordEncoder:
     """BPE with word ends, equal to `tokenizers` on the same file, chunk by chunk.
 
     White space separates words, so a text's ids are its chunks' ids in order.
-    Chunks seen before are looked up, in two generations: chunks in use move to
-    the younger one, so frequent words are not learned again. New ones of plain letters and signs go
-    together through the same merges in one call: after each word an upper-case
-    letter, which normalised text cannot hold, stands for the word's end. All
-    other chunks (special tokens, further scripts, very long ones) and texts
-    with control characters that only `str.split` takes as white space go to
-    the `tokenizers` library itself.
+    Each different chunk of the given texts is merged once, and the texts' ids
+    are gathered from theirs. Chunks of plain letters and signs go together
+    through the same merges in one call: after each word an upper-case letter,
+    which normalised text cannot hold, stands for the word's end. All other
+    chunks (special tokens, further scripts, very long ones) and texts with
+    control characters that only `str.split` takes as white space go to the
+    `tokenizers` library itself.
     """
 
-    # A generation of a worker's chunks becomes the older one when it holds so many.
-    CACHED = 100_000
+    # So many chunks are looked up together, which bounds the arrays of a very long text.
+    TOGETHER = 1 << 21
     LONGEST = 64
     _END = "Z"
     _SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
@@ -94,6 +96,9 @@ class WordEncoder:
             end = token.endswith(WORD_END)
             word = bytes(plain[c] for c in (token[: -len(WORD_END)] if end else token))
             ranks[word + (self._END.encode() if end else b"")] = rank
+        # Whether an id ends a word.
+        self._ends = np.zeros(max(ranks.values()) + 1, bool)
+        self._ends[[rank for word, rank in ranks.items() if word.endswith(self._END.encode())]] = True
         self._break = ranks[b" " + self._END.encode()]
         self._merges = tiktoken.Encoding(
             "words",
@@ -104,51 +109,87 @@ class WordEncoder:
         self._words = regex.compile(WORD_PATTERN + "| ")
         self._ascii_words = re.compile(ASCII_WORD_PATTERN + "| ")
         self._odd = re.compile(r"[^\x00-ɏ]|<\|")
-        self._young: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, as unsigned 32-bit integers."""
         parts = [None if any(c in text for c in self._SEPARATORS) else text.split() for text in texts]
-        missing = set().union(*[p for p in parts if p is not None]).difference(self._young)
-        kept = self._old.keys() & missing
-        self._young.update(zip(kept, map(self._old.__getitem__, kept)))
-        missing -= kept
-        if missing:
-            self._learn(list(missing))
-        known = self._young.__getitem__
-        ids = [
+        chunks = list(chain.from_iterable(p for p in parts if p is not None))
+        found = [
+            self._gathered(chunks[at : at + self.TOGETHER])
+            for at in range(0, len(chunks), self.TOGETHER)
+        ]
+        ids = np.concatenate([np.zeros(0, np.uint32), *(own for own, _ in found)])
+        sizes = np.concatenate([np.zeros(1, np.int64), *(size for _, size in found)])
+        places = np.cumsum(sizes)[np.cumsum([0, *(len(p or ()) for p in parts)])].tolist()
+        return [
             np.array(self._whole.encode(text, add_special_tokens=False).ids, np.uint32)
-            if chunks is None
-            else np.frombuffer(b"".join(map(known, chunks)), np.uint32)
-            for text, chunks in zip(texts, parts)
+            if part is None
+            else ids[start:stop]
+            for text, part, start, stop in zip(texts, parts, places, places[1:])
         ]
-        if len(self._young) > self.CACHED:
-            self._old, self._young = self._young, {}
-        return ids
-
-    def _learn(self, chunks: list[str]) -> None:
-        odd = []
-        if self._odd.search(" ".join(chunks)) or max(map(len, chunks)) > self.LONGEST:
-            odd = [c for c in chunks if len(c) > self.LONGEST or self._odd.search(c)]
-            chunks = list(set(chunks).difference(odd))
-        if chunks:
-            # A space between chunks becomes a word of its own, with an id that no text has.
-            text = unicodedata.normalize("NFC", " ".join(chunks)).lower()
-            pattern = self._ascii_words if text.isascii() else self._words
-            words = self._END.join(pattern.findall(text)) + self._END
-            ids = self._merges.encode_to_numpy(words, disallowed_special=()).astype(np.uint32)
-            stops = np.flatnonzero(ids == self._break)
-            starts = np.concatenate([[0], stops + 1]) * 4
-            stops = np.append(stops, len(ids)) * 4
-            raw = ids.tobytes()
-            self._young.update(
-                (chunk, raw[start:stop])
-                for chunk, start, stop in zip(chunks, starts.tolist(), stops.tolist())
-            )
-        if odd:
-            for chunk, found in zip(odd, self._whole.encode_batch(odd, add_special_tokens=False)):
-                self._young[chunk] = np.array(found.ids, np.uint32).tobytes()
+
+    def _gathered(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks in a row, and how many each chunk has."""
+        distinct = pa.array(chunks, pa.string()).dictionary_encode()
+        ids, starts, stops = self._merged(distinct.dictionary.to_numpy(zero_copy_only=False).tolist())
+        which = distinct.indices.to_numpy()
+        sizes = (stops - starts)[which]
+        behind = np.cumsum(sizes)
+        # Where each id comes from: its chunk's start and its place in the chunk.
+        places = np.repeat(starts[which] - (behind - sizes), sizes)
+        places += np.arange(len(places))
+        return ids[places], sizes
+
+    def _merged(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of different chunks, and where those of each chunk start and stop."""
+        odd = np.zeros(len(chunks), bool)
+        if self._odd.search(" ".join(chunks)) or max(map(len, chunks), default=0) > self.LONGEST:
+            odd[:] = [len(c) > self.LONGEST or self._odd.search(c) is not None for c in chunks]
+        usual, other = np.flatnonzero(~odd), np.flatnonzero(odd)
+        # No chunk holds a space, so the folded text comes apart into the same chunks.
+        text = " ".join(compress(chunks, ~odd))
+        folded = unicodedata.normalize("NFC", text).lower().split(" ") if text else []
+        letters = np.array(list(map(str.isalpha, folded)), bool)
+        ascii = np.array(list(map(str.isascii, folded)), bool)
+        starts, stops, ids = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64), []
+        for own, part, merge in [
+            (usual[letters], compress(folded, letters), self._words_ids),
+            (usual[~letters & ascii], compress(folded, ~letters & ascii), self._ascii_ids),
+            (usual[~letters & ~ascii], compress(folded, ~letters & ~ascii), self._signs_ids),
+            (other, compress(chunks, odd), self._library_ids),
+        ]:
+            if len(own):
+                new, ends = merge(list(part))
+                before = sum(map(len, ids))
+                starts[own] = before + np.concatenate([[0], ends[:-1]])
+                stops[own] = before + ends
+                ids.append(new)
+        return np.concatenate([np.zeros(0, np.uint32), *ids]), starts, stops
+
+    def _words_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks that are one word each, and where each ends."""
+        text = self._END.join(words) + self._END
+        ids = self._merges.encode_to_numpy(text, disallowed_special=()).astype(np.uint32)
+        return ids, np.flatnonzero(self._ends[ids]) + 1
+
+    def _ascii_ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return self._parted_ids(chunks, self._ascii_words)
+
+    def _signs_ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return self._parted_ids(chunks, self._words)
+
+    def _parted_ids(self, chunks: list[str], pattern) -> tuple[np.ndarray, np.ndarray]:
+        """The same for chunks that the pattern takes apart into words."""
+        # A space between chunks becomes a word of its own, with an id that no text has.
+        ids, _ = self._words_ids(pattern.findall(" ".join(chunks)))
+        breaks = np.flatnonzero(ids == self._break)
+        ends = np.append(breaks - np.arange(len(breaks)), len(ids) - len(breaks))
+        return ids[ids != self._break], ends
+
+    def _library_ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self._whole.encode_batch(chunks, add_special_tokens=False)
+        ends = np.cumsum([len(f.ids) for f in found])
+        return np.array(list(chain.from_iterable(f.ids for f in found)), np.uint32), ends
 
 
 def _plain_bytes() -> dict[str, int]:

@@ -31,6 +31,32 @@ def test_word_ids_are_those_of_the_library():
         assert [ids.tolist() for ids in got] == [e.ids for e in library[start : start + 100]]
 
 
+def test_each_different_word_is_merged_once():
+    words = [f"{a}{b}{c}" for a in "abcdefgh" for b in "eiou" for c in "nrst"]
+    texts = [" ".join(words[n:] + words[:n]) for n in range(50)]
+    encoder = tokens.WordEncoder(WORDS)
+    merges, given = encoder._merges, []
+
+    class Counted:
+        def encode_to_numpy(self, text, **options):
+            given.append(text)
+            return merges.encode_to_numpy(text, **options)
+
+    encoder._merges = Counted()
+    got = encoder.encode(texts)
+    assert sum(text.count(encoder._END) for text in given) == len(words)
+    assert [ids.tolist() for ids in got] == [plain_ids(text) for text in texts]
+
+
+@pytest.mark.parametrize("together", [1, 3, 1000])
+def test_chunks_looked_up_in_runs(together):
+    texts = [t or "" for t in TEXTS] + ["a b, a", "", " ", "it's b, c! Été été, \x1f"]
+    encoder = tokens.WordEncoder(WORDS)
+    encoder.TOGETHER = together
+    assert [ids.tolist() for ids in encoder.encode(texts)] == [plain_ids(text) for text in texts]
+    assert encoder.encode([]) == [] and [len(ids) for ids in encoder.encode([""])] == [0]
+
+
 def test_cut():
     assert cut(5, 2) == [(0, 2), (2, 2), (4, 1)] and cut(4, 2) == [(0, 2), (2, 2)] and cut(1, 2) == [(0, 1)]
 
