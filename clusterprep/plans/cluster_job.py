@@ -21,7 +21,7 @@ from clusterprep.plans.prepare import (
     PreparedData,
     prepare_training_data,
 )
-from clusterprep.session import checkpointed
+from clusterprep.session import checkpointed, held
 from clusterprep.sinks.tables import Target, save_results
 from clusterprep.sources.files import read_parquet
 
@@ -75,20 +75,21 @@ def cluster_prepared(prepared: PreparedData, params: ClusterParams) -> ClusterRe
     into partitions by file size.
     """
     rows = checkpointed(stable_layout(prepared.df, prepared.feature_cols))
-    model = fit_clusters(
-        rows,
-        prepared.feature_cols,
-        k=params.k,
-        seed=params.seed,
-        strategy=params.imputer_strategy,
-        relative_error=params.relative_error,
-    )
-    scored = model.score(rows)
-    score = silhouette(
-        scored,
-        distance_measure=params.distance_measure,
-        metric_name=params.metric_name,
-    )
+    with held(rows):
+        model = fit_clusters(
+            rows,
+            prepared.feature_cols,
+            k=params.k,
+            seed=params.seed,
+            strategy=params.imputer_strategy,
+            relative_error=params.relative_error,
+        )
+        scored = model.score(rows)
+        score = silhouette(
+            scored,
+            distance_measure=params.distance_measure,
+            metric_name=params.metric_name,
+        )
     predictions = scored.select(*[column(c) for c in prepared.feature_cols], PREDICTION)
     metrics = metrics_table(rows.sparkSession, {params.metric_name: score})
     return ClusterResult(predictions, metrics, score, model, replace(prepared, df=rows))

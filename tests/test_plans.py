@@ -3,7 +3,9 @@ from pyspark.sql import functions as F
 
 from clusterprep import ClusterParams, cluster_table, prepare_training_data, run
 from clusterprep.functions.columns import row_rank
-from clusterprep.session import fresh_path
+from clusterprep.operators.cluster import fit_clusters, stable_layout
+from clusterprep.plans import cluster_job
+from clusterprep.session import checkpointed, fresh_path, held
 from clusterprep.sinks.tables import PREDICTIONS_TABLE, ParquetTarget, results_summary
 
 
@@ -134,3 +136,30 @@ def test_all_rows_are_clustered_unless_a_sample_is_asked_for(spark):
     result = cluster_table(df)
     assert result.predictions.count() == 120_000
     assert ClusterParams().target_rows is None
+
+
+def test_prepared_rows_are_held_while_the_job_passes_over_them(spark, monkeypatch):
+    rows = spark.range(400).selectExpr("id % 7 * 1D AS x", "id * 1D AS y")
+    seen = []
+
+    def fit(df, *args, **options):
+        seen.append(df.storageLevel)
+        return fit_clusters(df, *args, **options)
+
+    monkeypatch.setattr(cluster_job, "fit_clusters", fit)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    result = cluster_table(rows)
+    assert seen[0].useDisk and not seen[0].useMemory
+    assert not result.prepared.df.storageLevel.useDisk
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
+    assert result.predictions.count() == 400
+
+
+def test_held_rows_keep_their_partitions_and_order(spark):
+    rows = checkpointed(stable_layout(spark.range(500).selectExpr("id * 1D AS x"), ["x"]))
+    plain = rows.withColumn("part", F.spark_partition_id()).collect()
+    with held(rows):
+        kept = rows.withColumn("part", F.spark_partition_id())
+        assert "InMemoryTableScan" in kept._jdf.queryExecution().executedPlan().toString()
+        assert kept.collect() == plain
+    assert rows.withColumn("part", F.spark_partition_id()).collect() == plain
