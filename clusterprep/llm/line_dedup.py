@@ -36,16 +36,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clusterprep.functions.columns import column
-from clusterprep.llm.arrays import Words, grams, powers, slabs, text_bytes
+from clusterprep.llm.arrays import Words, grams, mix, powers, slabs, text_bytes
 from clusterprep.llm.bucket_counts import bucket_counts, bucket_of
 from clusterprep.llm.rows import BROADCAST_ROWS, map_arrow, picked, small, unused, with_row
-from clusterprep.session import cut_lineage, discard, fresh_path, read_written, release_shuffles
+from clusterprep.session import (
+    cut_lineage,
+    discard,
+    fresh_path,
+    read_written,
+    release_shuffles,
+    write_parts,
+)
 
 K = 5
 SIMILARITY = 0.8
@@ -55,6 +63,7 @@ COMMON = 4096  # lines, by bucket, from which on a token's postings are not coun
 BUCKETS = 1 << 20  # of the token counts: 4 MB when broadcast
 _COMMON = (1 << 16) - 1  # counts from here on are alike
 _LINE, _PREFIX, _TEXT = range(3)
+_PAIRS = 1024  # verified together
 
 
 class Lines:
@@ -89,21 +98,27 @@ class Lines:
         return a.view(np.int64), b.view(np.int64)
 
 
+def _tokens(
+    hashes: np.ndarray, line_of: np.ndarray, sizes: np.ndarray, of: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Line and token of all runs of words, the whole lines of fewer than `K` words last."""
+    codes = grams(hashes, K)
+    inside = np.flatnonzero(line_of[: len(codes)] == line_of[K - 1 :][: len(codes)])
+    line, token = [line_of[inside]], [codes[inside]]
+    for length in range(1, K):
+        short = np.flatnonzero(sizes == length)
+        if len(short):
+            line.append(short)
+            token.append(grams(hashes, length)[of[short]])
+    return np.concatenate(line), np.concatenate(token)
+
+
 class LineTokens(Lines):
     """The tokens of the lines too: `line` and `token` list them in text order, repeated ones too."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         super().__init__(data, offsets)
-        words, line_of, sizes = self.words, self.line_of, self.sizes
-        codes = grams(words.hash, K)
-        inside = np.flatnonzero(line_of[: len(codes)] == line_of[K - 1 :][: len(codes)])
-        line, token = [line_of[inside]], [codes[inside]]
-        for length in range(1, K):
-            short = np.flatnonzero(sizes == length)
-            if len(short):
-                line.append(short)
-                token.append(grams(words.hash, length)[self.of[short]])
-        self.line, self.token = np.concatenate(line), np.concatenate(token)
+        self.line, self.token = _tokens(self.words.hash, self.line_of, self.sizes, self.of)
 
     def ordered(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Line and token of the different tokens by line, the rarest first.
@@ -144,9 +159,12 @@ def token_counts(rows: DataFrame) -> np.ndarray:
 
 
 def _lines(rows: DataFrame, counts: np.ndarray) -> DataFrame:
-    """Rows of three kinds: a line with words, its prefix, and a text, whose size is its lines."""
+    """Rows of three kinds: a line with words (without its document), its prefix, and a text.
+
+    A text's size is its lines. Of a prefix, `rare` tokens come before the common ones.
+    """
     shared = rows.sparkSession.sparkContext.broadcast(counts)
-    names = ["lid", "row", "doc_id", "line", "a", "b", "size", "prefix", "common", "kind"]
+    names = ["lid", "row", "doc_id", "line", "a", "b", "size", "prefix", "rare", "kind"]
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         lid = TaskContext.get().partitionId() << 40
@@ -163,19 +181,22 @@ def _lines(rows: DataFrame, counts: np.ndarray) -> DataFrame:
             at = np.repeat(begin - (np.cumsum(probe) - probe), probe) + np.arange(probe.sum())
             ends = pa.array(np.concatenate([[0], np.cumsum(probe)]), pa.int32())
             prefix = pa.ListArray.from_arrays(ends, pa.array(token[at].view(np.int64)))
-            common = pa.ListArray.from_arrays(ends, pa.array(shared.value[_bucket(token[at])] >= COMMON))
+            # The rarest come first, so the common ones are the last of a prefix.
+            below = np.concatenate([[0], np.cumsum(shared.value[_bucket(token[at])] < COMMON)])
+            rare = np.diff(below[np.concatenate([[0], np.cumsum(probe)])])
 
-            def sent(kind, where, line, numbers, prefix=None, common=None):
+            def sent(kind, where, line, numbers, prefix=None, rare=None):
                 count = len(where)
+                named = kind != _LINE
                 columns = [
                     pa.array(np.arange(lid, lid + count)),
                     slab.column("row").take(pa.array(where)),
-                    slab.column("doc_id").take(pa.array(where)),
+                    slab.column("doc_id").take(pa.array(where, mask=None if named else np.ones(count, bool))),
                     pa.array(line, pa.int32()),
                     *map(pa.array, numbers[:2]),
                     pa.array(numbers[2], pa.int32()),
                     pa.nulls(count, pa.list_(pa.int64())) if prefix is None else prefix,
-                    pa.nulls(count, pa.list_(pa.bool_())) if common is None else common,
+                    pa.nulls(count, pa.int32()) if rare is None else pa.array(rare, pa.int32()),
                     pa.array(np.full(count, kind), pa.int32()),
                 ]
                 return pa.RecordBatch.from_arrays(columns, names)
@@ -184,7 +205,7 @@ def _lines(rows: DataFrame, counts: np.ndarray) -> DataFrame:
             none = np.zeros(slab.num_rows, np.int64)
             where = text[own]
             yield sent(_LINE, where, number[own], (a, b, size))
-            yield sent(_PREFIX, where, number[own], (a, b, size), prefix, common)
+            yield sent(_PREFIX, where, number[own], (a, b, size), prefix, rare)
             yield sent(_TEXT, texts, none - 1, (none, none, found.counts))
             lid += len(where)
 
@@ -192,13 +213,13 @@ def _lines(rows: DataFrame, counts: np.ndarray) -> DataFrame:
         [
             T.StructField("lid", T.LongType()),
             T.StructField("row", T.LongType()),
-            rows.schema["doc_id"],
+            T.StructField("doc_id", rows.schema["doc_id"].dataType),
             T.StructField("line", T.IntegerType()),
             T.StructField("a", T.LongType()),
             T.StructField("b", T.LongType()),
             T.StructField("size", T.IntegerType()),
             T.StructField("prefix", T.ArrayType(T.LongType())),
-            T.StructField("common", T.ArrayType(T.BooleanType())),
+            T.StructField("rare", T.IntegerType()),
             T.StructField("kind", T.IntegerType()),
         ]
     )
@@ -290,37 +311,55 @@ def _matches(pairs: DataFrame, words: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            equal = [
-                jaccard(_set(x), _set(y)) >= SIMILARITY - 1e-9
-                for x, y in zip(batch.column("left"), batch.column("right"))
-            ]
-            yield batch.select(["gone", "by"]).filter(pa.array(equal, pa.bool_()))
+            for start in range(0, batch.num_rows, _PAIRS):
+                some = batch.slice(start, _PAIRS)
+                equal = jaccard(some.column("left"), some.column("right")) >= SIMILARITY - 1e-9
+                yield some.select(["gone", "by"]).filter(pa.array(equal))
 
     matched = cut_lineage(map_arrow(joined, run, "gone long, by long"), "matches")
     discard(words)
     return matched
 
 
-def _set(words: pa.Scalar) -> np.ndarray:
-    values = np.frombuffer(words.as_buffer(), np.uint32).astype(np.uint64)
-    return np.unique(grams(values, min(K, len(values))))
-
-
-def jaccard(left: np.ndarray, right: np.ndarray) -> float:
-    """Similarity of two sorted sets."""
-    both = len(np.intersect1d(left, right, assume_unique=True))
-    return both / (len(left) + len(right) - both)
+def _row_tokens(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Row and token of lines given by their words' 32-bit hashes."""
+    raw = np.frombuffer(b"".join(words.to_pylist()), np.uint32).astype(np.uint64)
+    sizes = pc.binary_length(words).to_numpy() // 4
+    of = np.concatenate([[0], np.cumsum(sizes)])
+    return _tokens(raw, np.repeat(np.arange(len(sizes)), sizes), sizes, of)
+
+
+def jaccard(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """Similarity of the token sets of each two lines, given by their words' hashes."""
+    pairs, (rows, tokens) = len(left), _row_tokens(left)
+    more_rows, more = _row_tokens(right)
+    is_right = np.arange(len(tokens) + len(more)) >= len(tokens)
+    rows, tokens = np.concatenate([rows, more_rows]), np.concatenate([tokens, more])
+    # Row and token in one number: a fast sort.
+    key = tokens + mix(rows)
+    by = np.argsort(key)
+    if ((key[by][1:] == key[by][:-1]) & (rows[by][1:] != rows[by][:-1])).any():
+        by = np.lexsort((tokens, rows))
+    row, token = rows[by], tokens[by]
+    new = np.ones(len(by), bool)
+    new[1:] = (row[1:] != row[:-1]) | (token[1:] != token[:-1])
+    group, own = np.cumsum(new) - 1, is_right[by]
+    sides = np.zeros((2, int(new.sum())), bool)
+    sides[0, group[~own]] = True
+    sides[1, group[own]] = True
+    both = np.bincount(row[new][sides.all(axis=0)], minlength=pairs)
+    return both / np.bincount(row[new], minlength=pairs)
 
 
 def later_matches(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """(gone, by) for every node that an earlier one matches, perhaps several times."""
-    tokens = F.posexplode(F.arrays_zip("prefix", "common")).alias("place", "t")
-    posted = sets.select("node", "size", tokens).select("node", "size", "place", "t.prefix", "t.common")
-    posted = posted.withColumnRenamed("prefix", "token")
+    tokens = F.posexplode("prefix").alias("place", "token")
+    with_common = sets.filter(F.col("rare") < F.size("prefix"))
     # Postings of at most COMMON lines are counted where they meet, the others before they do.
     members = F.count(F.lit(1)).over(Window.partitionBy("token")).alias("members")
-    rare = posted.filter("NOT common").select("node", "size", "place", "token", members).filter("members > 1")
-    common = posted.filter("common").drop("common")
+    rare = sets.select("node", "size", "rare", tokens).filter("place < rare")
+    rare = rare.select("node", "size", "place", "token", members).filter("members > 1")
+    common = with_common.select("node", "size", "rare", tokens).filter("place >= rare").drop("rare")
     several = common.groupBy("token").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     met = cut_lineage(rare.unionByName(common.join(small(several), "token")), "met")
     release_shuffles(rows.sparkSession)
@@ -385,26 +424,28 @@ def repeated_lines(
     rows = rows.select("row", "doc_id", "text")
     path = fresh_path(docs.sparkSession, "lines")
     every = _lines(rows, token_counts(rows))
-    every.write.partitionBy("kind").parquet(path)
+    write_parts(every, path, "kind")
 
     def written(kind: int, *columns: str) -> DataFrame:
         return read_written(docs.sparkSession, path, every.select(*columns).schema, ("kind", kind))
 
-    place = ["lid", "row", "doc_id", "line", "a", "b"]
-    lines = written(_LINE, *place)
-    prefixes = written(_PREFIX, *place, "size", "prefix", "common")
+    lines = written(_LINE, "lid", "row", "line", "a", "b")
+    prefixes = written(_PREFIX, "lid", "row", "doc_id", "line", "a", "b", "size", "prefix", "rare")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "line")
     # What all lines of a set share rides along with the first of them.
-    first = F.min(F.struct(place.alias("first"), F.col("lid").alias("node"), "size", "prefix", "common"))
-    sets = prefixes.groupBy("a", "b").agg(first.alias("m")).select("a", "b", "m.*")
+    first = F.min(F.struct(place.alias("first"), F.col("lid").alias("node"), "size", "prefix", "rare"))
+    sets = prefixes.groupBy("a", "b").agg(first.alias("m"), F.count(F.lit(1)).alias("lines"))
+    sets = sets.select("a", "b", "m.*", "lines")
     sets = cut_lineage(sets, "sets")
     discard(prefixes)
     gone = later_matches(rows, sets).select(F.col("gone").alias("node")).distinct()
-    judged = sets.select("a", "b", "node").join(gone.withColumn("gone", F.lit(True)), "node", "left")
+    gone = cut_lineage(gone.withColumn("gone", F.lit(True)), "gone")
+    # The only line of a set stays, unless an earlier line matches it.
+    judged = sets.select("a", "b", "node", "lines").join(small(gone), "node", "left")
+    judged = judged.filter((F.col("lines") > 1) | F.col("gone")).drop("lines")
     judged = cut_lineage(judged, "judged")
     dropped = (
-        lines.select("lid", "row", "line", "a", "b")
-        .join(judged, ["a", "b"])
+        lines.join(small(judged), ["a", "b"])
         .filter((F.col("lid") != F.col("node")) | F.col("gone"))
         .groupBy("row")
         .agg(F.array_sort(F.collect_list("line")).alias("removed"))

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from clusterprep.llm import line_dedup
 from clusterprep.llm.arrays import text_bytes
@@ -111,3 +112,49 @@ def test_keys_tell_lines_by_their_words_in_order():
             words += [own] if own else []
     assert len(keys) == len(words)
     assert len(set(keys)) == len(set(words)) == len(set(zip(keys, words)))
+
+
+def test_lines_met_by_common_tokens_only(spark):
+    base = "a b c d e f g h i"
+    texts = [base] * (line_dedup.COMMON + 9) + [f"{base} w{n}" for n in range(30)] + ["a b c d e x y z v"]
+    assert {i: r for i, (_, r) in found(docs(spark, texts)).items()} == brute(texts)
+
+
+def test_only_repeated_or_matched_lines_are_judged(spark, monkeypatch):
+    texts = [f"line {n} alone" for n in range(200)] + ["two of this", "two of this"]
+    base = "a b c d e f g h i"
+    texts += [base, base + " j"]
+    rows, write = {}, line_dedup.cut_lineage
+
+    def counted(df, label="stage"):
+        written = write(df, label)
+        rows[label] = written.count()
+        return written
+
+    monkeypatch.setattr(line_dedup, "cut_lineage", counted)
+    assert {i: r for i, (_, r) in found(docs(spark, texts)).items()} == brute(texts)
+    assert rows["sets"] == 203 and rows["judged"] == 2
+
+
+def test_ids_that_cannot_be_null(spark):
+    frame = docs(spark, ["a b", "c d", "a b"]).withColumn("doc_id", F.monotonically_increasing_id())
+    assert sorted(r["removed"] for r in line_dedup.repeated_lines(frame).collect()) == [[], [], [0]]
+
+
+def test_similarity_of_pairs_at_once():
+    rng = random.Random(4)
+    pairs = []
+    for _ in range(300):
+        left = [rng.randrange(1 << 32) for _ in range(rng.randint(1, 30))] * rng.randint(1, 2)
+        right = [w if rng.random() < 0.9 else 7 for w in left][: rng.randint(1, 40)]
+        pairs.append((left, right))
+
+    def runs(words):
+        k = min(line_dedup.K, len(words))
+        return {tuple(words[i : i + k]) for i in range(len(words) - k + 1)}
+
+    def binary(lists):
+        return pa.array([b"", *(np.array(words, np.uint32).tobytes() for words in lists)])[1:]
+
+    got = line_dedup.jaccard(*map(binary, zip(*pairs)))
+    assert got.tolist() == [len(runs(a) & runs(b)) / len(runs(a) | runs(b)) for a, b in pairs]

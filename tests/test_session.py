@@ -2,7 +2,15 @@ from types import SimpleNamespace
 
 import pytest
 
-from clusterprep.session import checkpointed, cut_lineage, scratch, shared_folder
+from clusterprep.session import (
+    checkpointed,
+    cut_lineage,
+    fresh_path,
+    read_written,
+    scratch,
+    shared_folder,
+    write_parts,
+)
 
 
 def session(master, warehouse, **conf):
@@ -39,3 +47,13 @@ def test_checkpoint_keeps_partitions_and_order(spark):
     before = rows.rdd.glom().collect()
     kept = checkpointed(rows)
     assert kept.rdd.glom().collect() == before
+
+
+def test_parts_are_written_by_a_column(spark):
+    rows = spark.range(100).selectExpr("id", "CAST(id % 3 AS INT) AS part")
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    path = fresh_path(spark, "parts")
+    write_parts(rows, path, "part")
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    one = read_written(spark, path, rows.select("id").schema, ("part", 1))
+    assert sorted(r["id"] for r in one.collect()) == list(range(1, 100, 3))
