@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from clusterprep.llm.tokens import word_encoder
 END_ID = 0  # follows each document
 
 # Text bytes encoded together: different words are merged once for all of them.
-TOGETHER = 1 << 23
+TOGETHER = 1 << 21
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -25,6 +26,13 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
     return [(s, min(capacity, length - s)) for s in range(0, length, capacity)]
 
 
+def _texts(slab: pa.RecordBatch) -> Iterator[str]:
+    """The texts, of which few are strings at a time."""
+    for few in slabs([slab], "text"):
+        for text in few.column("text").to_pylist():
+            yield text or ""
+
+
 def token_pieces(
     docs: DataFrame,
     vocabulary: str,
@@ -46,7 +54,7 @@ def token_pieces(
     def run(batches):
         key = TaskContext.get().partitionId() << 40
         for slab in slabs(batches, "text", TOGETHER):
-            encoded = word_encoder(vocabulary).encode([t or "" for t in slab.column("text").to_pylist()])
+            encoded = word_encoder(vocabulary).encode(_texts(slab))
             of, piece, start, length, crc, raw = [], [], [], [], [], []
             for n, ids in enumerate(encoded):
                 ids = np.append(ids, np.uint32(END_ID)).astype("<u4")

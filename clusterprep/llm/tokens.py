@@ -10,6 +10,7 @@ import base64
 import json
 import re
 import unicodedata
+from collections.abc import Iterable, Iterator
 from itertools import chain, compress
 
 import numpy as np
@@ -77,8 +78,10 @@ class WordEncoder:
     `tokenizers` library itself.
     """
 
-    # So many chunks are looked up together, which bounds the arrays of a very long text.
+    # So many chunks are merged together, which bounds the arrays of a very long text.
     TOGETHER = 1 << 21
+    # So many chunks are held as strings; the others as places in tables of the different ones.
+    LISTED = 1 << 15
     LONGEST = 64
     _END = "Z"
     _SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
@@ -110,35 +113,67 @@ class WordEncoder:
         self._ascii_words = re.compile(ASCII_WORD_PATTERN + "| ")
         self._odd = re.compile(r"[^\x00-ɏ]|<\|")
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: Iterable[str]) -> list[np.ndarray]:
         """Ids of each text, as unsigned 32-bit integers."""
-        parts = [None if any(c in text for c in self._SEPARATORS) else text.split() for text in texts]
-        chunks = list(chain.from_iterable(p for p in parts if p is not None))
-        found = [
-            self._gathered(chunks[at : at + self.TOGETHER])
-            for at in range(0, len(chunks), self.TOGETHER)
-        ]
-        ids = np.concatenate([np.zeros(0, np.uint32), *(own for own, _ in found)])
-        sizes = np.concatenate([np.zeros(1, np.int64), *(size for _, size in found)])
-        places = np.cumsum(sizes)[np.cumsum([0, *(len(p or ()) for p in parts)])].tolist()
+        counts: list[int] = []
+        library: dict[int, np.ndarray] = {}
+        ids, sizes, runs, listed = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)], [], 0
+        for run in self._runs(texts, counts, library):
+            if runs and listed + len(run) > self.TOGETHER:
+                self._gather(runs, ids, sizes)
+                runs, listed = [], 0
+            runs.append(run)
+            listed += len(run)
+        if runs:
+            self._gather(runs, ids, sizes)
+        every = np.concatenate(ids)
+        places = np.cumsum(np.concatenate(sizes), dtype=np.int64)[np.cumsum([0, *counts])].tolist()
         return [
-            np.array(self._whole.encode(text, add_special_tokens=False).ids, np.uint32)
-            if part is None
-            else ids[start:stop]
-            for text, part, start, stop in zip(texts, parts, places, places[1:])
+            library[n] if n in library else every[start:stop]
+            for n, (start, stop) in enumerate(zip(places, places[1:]))
         ]
 
-    def _gathered(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all chunks in a row, and how many each chunk has."""
-        distinct = pa.array(chunks, pa.string()).dictionary_encode()
-        ids, starts, stops = self._merged(distinct.dictionary.to_numpy(zero_copy_only=False).tolist())
-        which = distinct.indices.to_numpy()
-        sizes = (stops - starts)[which]
-        behind = np.cumsum(sizes)
-        # Where each id comes from: its chunk's start and its place in the chunk.
-        places = np.repeat(starts[which] - (behind - sizes), sizes)
-        places += np.arange(len(places))
-        return ids[places], sizes
+    def _runs(
+        self, texts: Iterable[str], counts: list[int], library: dict[int, np.ndarray]
+    ) -> Iterator[pa.DictionaryArray]:
+        """The texts' chunks in runs; adds how many each text has, or its ids by the library."""
+        most = min(self.LISTED, self.TOGETHER)
+        chunks: list[str] = []
+
+        def listed() -> Iterator[pa.DictionaryArray]:
+            for at in range(0, len(chunks), most):
+                yield pa.array(chunks[at : at + most], pa.string()).dictionary_encode()
+            chunks.clear()
+
+        for n, text in enumerate(texts):
+            if any(c in text for c in self._SEPARATORS):
+                found = self._whole.encode(text, add_special_tokens=False).ids
+                library[n] = np.array(found, np.uint32)
+                counts.append(0)
+                continue
+            own = text.split()
+            counts.append(len(own))
+            chunks += own
+            if len(chunks) >= most:
+                yield from listed()
+        yield from listed()
+
+    def _gather(
+        self, runs: list[pa.DictionaryArray], ids: list[np.ndarray], sizes: list[np.ndarray]
+    ) -> None:
+        """Add the ids of the runs' chunks, and how many each chunk has; different ones are merged once."""
+        runs = pa.chunked_array(runs).unify_dictionaries().chunks
+        different = runs[0].dictionary.to_numpy(zero_copy_only=False).tolist()
+        merged, starts, stops = self._merged(different)
+        for run in runs:
+            which = run.indices.to_numpy()
+            size = (stops - starts)[which]
+            behind = np.cumsum(size)
+            # Where each id comes from: its chunk's start and its place in the chunk.
+            places = np.repeat(starts[which] - (behind - size), size)
+            places += np.arange(len(places))
+            ids.append(merged[places])
+            sizes.append(size.astype(np.int32))
 
     def _merged(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of different chunks, and where those of each chunk start and stop."""

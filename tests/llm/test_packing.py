@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -212,3 +213,20 @@ def test_placement_is_plain_best_fit():
                 rooms.append(width - need)
             open_ = sorted(room for room, some in packer.by_room.items() for _ in some)
             assert open_ == sorted(rooms)
+
+
+def test_few_chunks_are_held_as_strings():
+    words = [f"word{n}" for n in range(500)]
+    text = " ".join(words * 40)
+    encoder = tokens.WordEncoder(WORDS)
+    encoder.encode([text])
+    expected = plain_ids(text)
+    tracemalloc.start()
+    try:
+        got = encoder.encode(text for _ in range(20))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [ids.tolist() for ids in got] == [expected] * 20
+    chunks = 20 * len(words) * 40
+    assert most < sum(ids.nbytes for ids in got) * 2 + 24 * chunks
