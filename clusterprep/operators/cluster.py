@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import nullcontext
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.common import _py2java
+from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors
+from pyspark.mllib.common import _py2java as _mllib_py2java
+from pyspark.mllib.linalg import Vectors as MLlibVectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +25,8 @@ from clusterprep.operators.impute import (
     count_known_values,
     imputer_stage,
 )
+from clusterprep.operators.kmeans import NEAREST, k_means, with_nearest
+from clusterprep.session import held
 
 FEATURES = "features"
 PREDICTION = "prediction"
@@ -30,6 +38,13 @@ _RAW_PREDICTION = "__cluster"
 # fewer by one flat expression that whole-stage codegen compiles.
 _FLAT_COORDINATES = 256
 
+# From so many rows, centres with at most so many coordinates are fitted by
+# expressions over columns, which compare a row with about four times as many
+# candidates. Fewer rows fit the workers' memory as the vectors of `KMeans`, which
+# then takes less time per step; the result is the same.
+_MANY_ROWS = 4_000_000
+_FEW_COORDINATES = 32
+
 
 @dataclass(frozen=True)
 class ClusterModel:
@@ -47,8 +62,29 @@ class ClusterModel:
         """Centres in the scaled space, by canonical id."""
         return sorted([float(x) for x in c] for c in self.pipeline.stages[-1].clusterCenters())
 
+    @property
+    def scaled_cols(self) -> list[str] | None:
+        """Names of the scaled features in `placed`; none if there are too many for it."""
+        if len(self.labels) * len(self.feature_cols) > _FEW_COORDINATES:
+            return None
+        return [_scaled_name(i) for i in range(len(self.feature_cols))]
+
+    def placed(self, df: DataFrame) -> DataFrame:
+        """All columns of the frame, the scaled features as doubles and `prediction`."""
+        filler, _, scaler, kmeans = self.pipeline.stages
+        filled = filler.transform(_with_safe_names(df, self.feature_cols))
+        kept = [column(name) for name in df.columns]
+        scaled = filled.select(*kept, *_scaled_columns(scaler.mean, scaler.std))
+        near = with_nearest(scaled, self.scaled_cols, kmeans.clusterCenters())
+        canonical = F.element_at(F.lit(list(self.labels)), F.col(NEAREST) + 1)
+        return near.select(*kept, *self.scaled_cols, canonical.cast("int").alias(PREDICTION))
+
     def score(self, df: DataFrame) -> DataFrame:
         """All columns of the frame, the scaled `features` vector and `prediction`."""
+        if self.scaled_cols:
+            features = array_to_vector(F.array(*self.scaled_cols)).alias(FEATURES)
+            kept = [column(name) for name in df.columns]
+            return self.placed(df).select(*kept, features, PREDICTION)
         scored = self.pipeline.transform(_with_safe_names(df, self.feature_cols))
         canonical = F.element_at(F.array(*map(F.lit, self.labels)), F.col(_RAW_PREDICTION) + 1)
         return scored.select(
@@ -69,8 +105,13 @@ def fit_clusters(
     seed: int = 42,
     strategy: str = "median",
     relative_error: float = RELATIVE_ERROR,
+    copy: DataFrame | None = None,
 ) -> ClusterModel:
-    """Fit impute -> assemble -> scale -> k-means (Euclidean) on the named columns."""
+    """Fit impute -> assemble -> scale -> k-means (Euclidean) on the named columns.
+
+    `copy` may give the same rows in any layout, such as a written table, for
+    the passes that need no certain one.
+    """
     taken = {FEATURES, PREDICTION} & set(df.columns)
     if taken:
         raise ValueError(f"the input must not have columns named {sorted(taken)}")
@@ -78,18 +119,57 @@ def fit_clusters(
     safe = _safe_names(feature_cols)
     sizes = count_known_values(wide, dict(zip(safe, feature_cols)))
     imputer = imputer_stage(wide, sizes, strategy, relative_error)
-    pipeline = Pipeline(
-        stages=[
-            imputer,
-            VectorAssembler(inputCols=[s + SUFFIX for s in safe], outputCol=_RAW_VECTOR),
-            StandardScaler(inputCol=_RAW_VECTOR, outputCol=FEATURES, withMean=True, withStd=True),
-            KMeans(featuresCol=FEATURES, predictionCol=_RAW_PREDICTION, k=k, seed=seed),
-        ]
-    ).fit(wide)
+    stages = [
+        imputer,
+        VectorAssembler(inputCols=[s + SUFFIX for s in safe], outputCol=_RAW_VECTOR),
+        StandardScaler(inputCol=_RAW_VECTOR, outputCol=FEATURES, withMean=True, withStd=True),
+        KMeans(featuresCol=FEATURES, predictionCol=_RAW_PREDICTION, k=k, seed=seed),
+    ]
+    if max(sizes.values()) >= _MANY_ROWS and k * len(safe) <= _FEW_COORDINATES:
+        kept = df.storageLevel.useDisk or df.storageLevel.useMemory
+        with nullcontext() if kept else held(df):
+            again = wide if copy is None else _with_safe_names(copy, feature_cols)
+            pipeline = _fit_columns(wide, again, *stages)
+    else:
+        pipeline = Pipeline(stages=stages).fit(wide)
     centers = [tuple(float(x) for x in c) for c in pipeline.stages[-1].clusterCenters()]
     return ClusterModel(tuple(feature_cols), pipeline, canonical_labels(centers))
 
 
+def _fit_columns(
+    wide: DataFrame,
+    copy: DataFrame,
+    imputer: Imputer | Transformer,
+    assembler: VectorAssembler,
+    scaler: StandardScaler,
+    kmeans: KMeans,
+) -> PipelineModel:
+    """The fitted stages, learned by passes over plain columns instead of vectors."""
+    kmeans._transfer_params_to_java()  # refuses what a fit would refuse
+    filler = imputer.fit(wide) if isinstance(imputer, Imputer) else imputer
+    inputs = assembler.getInputCols()
+    statistics = [f(name) for f in (F.avg, F.stddev_samp) for name in inputs]
+    found = filler.transform(copy).agg(*statistics).first()
+    means = list(found[: len(inputs)])
+    deviations = [x or 0.0 for x in found[len(inputs) :]]  # null for a single row
+    scaled = _scaled_columns(means, deviations)
+    rows, again = (filler.transform(df).select(*scaled) for df in (wide, copy))
+    centers = k_means(rows, again, rows.columns, kmeans.getK(), kmeans.getSeed())
+
+    context = wide.sparkSession.sparkContext
+    jvm = wide.sparkSession._jvm.org.apache.spark
+    deviation, mean = (_py2java(context, Vectors.dense(v)) for v in (deviations, means))
+    points = _mllib_py2java(context, [MLlibVectors.dense(c) for c in centers])
+    fitted = {
+        scaler: jvm.ml.feature.StandardScalerModel(scaler.uid, deviation, mean),
+        kmeans: jvm.ml.clustering.KMeansModel(
+            kmeans.uid, jvm.mllib.clustering.KMeansModel(points)
+        ),
+    }
+    models = [stage._copyValues(stage._create_model(java)) for stage, java in fitted.items()]
+    return PipelineModel([filler, assembler, *models])
+
+
 def canonical_labels(centers: Sequence[Sequence[float]]) -> tuple[int, ...]:
     """Rank of each centre in lexicographic order: k-means numbers them arbitrarily."""
     order = sorted(range(len(centers)), key=lambda i: tuple(centers[i]))
@@ -217,3 +297,18 @@ def _with_safe_names(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add the features under names without dots, which ML stages do not accept."""
     pairs = zip(_safe_names(columns), columns)
     return df.withColumns({safe: column(name).cast("double") for safe, name in pairs})
+
+
+def _scaled_name(i: int) -> str:
+    return f"__scaled{i}"
+
+
+def _scaled_columns(means: Sequence[float], deviations: Sequence[float]) -> list[Column]:
+    """The filled features, scaled as `StandardScalerModel` does; 0.0 where nothing varies."""
+    return [
+        (
+            (F.col(f"__f{i}{SUFFIX}") - F.lit(float(mean)))
+            * F.lit(1 / float(deviation) if deviation else 0.0)
+        ).alias(_scaled_name(i))
+        for i, (mean, deviation) in enumerate(zip(means, deviations))
+    ]

@@ -21,7 +21,7 @@ from clusterprep.plans.prepare import (
     PreparedData,
     prepare_training_data,
 )
-from clusterprep.session import checkpointed, held
+from clusterprep.session import cut_lineage, held
 from clusterprep.sinks.tables import Target, save_results
 from clusterprep.sources.files import read_parquet
 
@@ -69,13 +69,14 @@ def cluster_prepared(prepared: PreparedData, params: ClusterParams) -> ClusterRe
     """Fit, predict and score prepared rows.
 
     The rows are laid out by value, so that the result does not depend on the
-    input's files, and kept as a checkpoint in the shared folder: the fit and
-    the score pass over them many times, and a checkpoint gives every pass the
-    same partitions in the same order, where a written table would be packed
+    input's files, and held in that layout for the passes that draw from them.
+    They are also written to the shared folder, which other passes and the
+    result read: a written table takes the fewest bytes, but would be packed
     into partitions by file size.
     """
-    rows = checkpointed(stable_layout(prepared.df, prepared.feature_cols))
+    rows = stable_layout(prepared.df, prepared.feature_cols)
     with held(rows):
+        written = cut_lineage(rows, "prepared")
         model = fit_clusters(
             rows,
             prepared.feature_cols,
@@ -83,16 +84,18 @@ def cluster_prepared(prepared: PreparedData, params: ClusterParams) -> ClusterRe
             seed=params.seed,
             strategy=params.imputer_strategy,
             relative_error=params.relative_error,
+            copy=written,
         )
-        scored = model.score(rows)
-        score = silhouette(
-            scored,
-            distance_measure=params.distance_measure,
-            metric_name=params.metric_name,
-        )
+    scored = model.placed(written) if model.scaled_cols else model.score(written)
+    score = silhouette(
+        scored,
+        distance_measure=params.distance_measure,
+        metric_name=params.metric_name,
+        columns=model.scaled_cols,
+    )
     predictions = scored.select(*[column(c) for c in prepared.feature_cols], PREDICTION)
     metrics = metrics_table(rows.sparkSession, {params.metric_name: score})
-    return ClusterResult(predictions, metrics, score, model, replace(prepared, df=rows))
+    return ClusterResult(predictions, metrics, score, model, replace(prepared, df=written))
 
 
 def cluster_table(df: DataFrame, params: ClusterParams = ClusterParams()) -> ClusterResult:

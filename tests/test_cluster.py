@@ -1,10 +1,15 @@
 import math
 
 import pytest
+from pyspark.errors import IllegalArgumentException
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
-from clusterprep.operators import cluster
+from clusterprep import ClusterParams, cluster_table
+from clusterprep.operators import cluster, kmeans
 from clusterprep.operators.cluster import (
     assign_nearest,
     canonical_labels,
@@ -148,3 +153,106 @@ def test_metrics_table(spark):
     table = metrics_table(spark, {"silhouette": 0.5, "other": 1})
     assert table.dtypes == [("metric", "string"), ("value", "double")]
     assert [tuple(r) for r in table.collect()] == [("silhouette", 0.5), ("other", 1.0)]
+
+
+def uneven(spark, partitions=5):
+    """Rows without clear groups, some values missing, in partitions of uneven size."""
+    i = F.col("id")
+    return spark.range(0, 2000, 1, partitions).select(
+        F.when(i % 40 != 3, i * 7919 % 997 / 10).alias("a.b"),
+        F.when(i % 90 == 4, math.nan).otherwise(i * i * 31 % 499 / 7).alias("y"),
+        (i % 2 * 30 + i * 104729 % 41).cast("double").alias("z"),
+    ).where("z != 7 OR y > 30")
+
+
+@pytest.mark.parametrize("k,seed,partitions", [(2, 42, 37), (3, -7, 5), (4, 2**40 + 5, 64)])
+def test_expressions_give_the_result_of_pyspark_ml(spark, monkeypatch, k, seed, partitions):
+    rows = stable_layout(uneven(spark, partitions), ["a.b", "y", "z"]).cache()
+    found = {}
+    for many in (10**9, 0):
+        monkeypatch.setattr(cluster, "_MANY_ROWS", many)
+        model = fit_clusters(rows, ["a.b", "y", "z"], k=k, seed=seed)
+        scored = model.score(rows).withColumn("features", vector_to_array("features"))
+        assert scored.columns == [*rows.columns, "features", "prediction"]
+        assert dict(scored.dtypes)["prediction"] == "int"
+        found[many] = model, scored.collect()
+    (old, theirs), (new, ours) = found[10**9], found[0]
+    assert new.labels == old.labels and len(new.centers) == k
+    for ours_of, theirs_of in zip(new.centers, old.centers):
+        assert ours_of == pytest.approx(theirs_of, rel=1e-9, abs=1e-9)
+    for a, b in zip(ours, theirs, strict=True):
+        assert a["prediction"] == b["prediction"]
+        assert a["features"] == pytest.approx(b["features"], rel=1e-9, abs=1e-9)
+    by_stages = new.pipeline.transform(cluster._with_safe_names(rows, new.feature_cols))
+    assert [new.labels[r["__cluster"]] for r in by_stages.collect()] == [r["prediction"] for r in ours]
+
+
+def test_many_rows_of_few_features_need_no_vectors(spark, monkeypatch):
+    """Neither the fit nor the score makes or keeps an object per row."""
+    expected = cluster_table(uneven(spark), ClusterParams(k=3))
+    monkeypatch.setattr(cluster, "_MANY_ROWS", 1000)
+
+    def refused(*args, **options):
+        raise AssertionError("vectors")
+
+    for kind in (KMeans, StandardScaler):
+        monkeypatch.setattr(kind, "_fit", refused)
+    monkeypatch.setattr(ClusteringEvaluator, "_evaluate", refused)
+    result = cluster_table(uneven(spark), ClusterParams(k=3))
+    assert result.score == pytest.approx(expected.score)
+    assert result.predictions.count() == expected.predictions.count() == 1981
+
+
+@pytest.mark.parametrize("k,few", [(2, True), (16, True), (17, False)])
+def test_many_coordinates_go_to_pyspark_ml(spark, monkeypatch, k, few):
+    monkeypatch.setattr(cluster, "_MANY_ROWS", 0)
+    result = cluster_table(uneven(spark), ClusterParams(k=k))
+    assert bool(result.model.scaled_cols) == few
+    assert {r[0] for r in result.predictions.select("prediction").distinct().collect()} == set(range(k))
+    assert -1 <= result.score <= 1
+
+
+@pytest.mark.parametrize("many", [0, 10**9])
+def test_one_cluster_is_refused(spark, monkeypatch, many):
+    monkeypatch.setattr(cluster, "_MANY_ROWS", many)
+    with pytest.raises(IllegalArgumentException, match="parameter k"):
+        fit_clusters(uneven(spark), ["y", "z"], k=1)
+
+
+def test_fewer_different_rows_than_centers(spark, monkeypatch):
+    monkeypatch.setattr(cluster, "_MANY_ROWS", 0)
+    df = spark.createDataFrame([(1.0,), (1.0,), (4.0,)], ["a"])
+    model = fit_clusters(df, ["a"], k=5)
+    assert len(model.centers) == 2
+    assert [r["prediction"] for r in model.predict(df).orderBy("a").collect()] == [0, 0, 1]
+
+
+@pytest.mark.parametrize("start", [0, 1, 42, -5, 2**31 - 1, -(2**31)])
+def test_random_numbers_of_a_partition(spark, start):
+    rows = spark.range(0, 26, 1, 13)
+    found = rows.select(F.spark_partition_id(), kmeans._rand_by_partition(start, 13)).collect()
+    random = spark._jvm.org.apache.spark.util.random.XORShiftRandom
+    for part in range(13):
+        draw = random(start ^ part)
+        assert [r[1] for r in found if r[0] == part] == [draw.nextDouble(), draw.nextDouble()]
+
+
+def test_nearest_of_equal_distances_is_the_first(spark):
+    df = spark.createDataFrame([(5.0, 1.0), (9.0, 1.0)], "`a.b` double, c double")
+    rows = kmeans.with_nearest(df, ["a.b", "c"], [[9.5, 1.0], [4.0, 1.0], [6.0, 1.0], [4.0, 1.0]])
+    assert [tuple(r)[-2:] for r in rows.collect()] == [(1, 1.0), (0, 0.25)]
+
+
+@pytest.mark.parametrize("distance_measure,distance", [("squaredEuclidean", squared), ("cosine", cosine)])
+def test_silhouette_of_columns_against_all_pairs(spark, distance_measure, distance):
+    points = [((1.0 + i % 5, 1.0 + i * 7 % 11), i % 3) for i in range(40)] + [((50.0, 1.0), 9)]
+    df = spark.createDataFrame([(*v, c) for v, c in points], "`x.1` double, y double, prediction int")
+    found = silhouette(df, distance_measure=distance_measure, columns=["x.1", "y"])
+    assert found == pytest.approx(brute_force_silhouette(points, distance))
+    with pytest.raises(ValueError, match="at least two clusters"):
+        silhouette(df.where("prediction = 1"), distance_measure=distance_measure, columns=["x.1", "y"])
+
+
+def test_silhouette_of_columns_where_all_rows_are_equal(spark):
+    df = spark.createDataFrame([(1.0, 0), (1.0, 0), (1.0, 1), (1.0, 1)], "x double, prediction int")
+    assert silhouette(df, columns=["x"]) == 0.0

@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from clusterprep.operators import order_statistics
 from clusterprep.operators.order_statistics import count_values, kth_smallest
 
 
@@ -61,3 +62,12 @@ def test_medians_of_many_columns(spark):
     found = kth_smallest(df, dict.fromkeys(columns, 200), sizes, direct_rows=100)
     for i in (0, 7, 299):
         assert found[f"c{i}"] == sorted(n * (i + 1) % 401 for n in range(400))[199]
+
+
+@pytest.mark.parametrize("flat", [0, 16])
+def test_both_forms_of_counting(spark, monkeypatch, flat):
+    monkeypatch.setattr(order_statistics, "_FLAT_COLUMNS", flat)
+    df = spark.createDataFrame(
+        [(1.0, None, None), (math.nan, 2, None), (None, 3, None)], "`a.b` double, c int, d double"
+    )
+    assert count_values(df, ["a.b", "c", "d"]) == {"a.b": 1, "c": 2, "d": 0}
