@@ -94,9 +94,8 @@ def first_centers(
         cost = with_nearest(copy, columns, candidates).agg(F.sum(DISTANCE)).first()[0]
         if cost == 0:
             break
-        chance = F.lit(2.0) * F.col(DISTANCE) * F.lit(k) / F.lit(cost)
         draw = _rand_by_partition(seed ^ (step << 16), partitions)
-        chosen = with_nearest(rows, columns, candidates).where(draw < chance).select(*names)
+        chosen = drawn_rows(rows, columns, candidates, draw, 2.0 * k, cost)
         candidates += [tuple(row) for row in chosen.collect()]  # about 2k rows of any number
     candidates = list(dict.fromkeys(candidates))
     if len(candidates) <= k:
@@ -106,6 +105,25 @@ def first_centers(
     return _best(spark, candidates, [sizes.get(j, 0) for j in range(len(candidates))], k)
 
 
+def drawn_rows(
+    rows: DataFrame,
+    columns: Sequence[str],
+    candidates: Sequence[Sequence[float]],
+    draw: Column,
+    wanted: float,
+    cost: float,
+) -> DataFrame:
+    """About so many of the rows as wanted, each by its share of the cost.
+
+    The draw is a column, as Spark would push a filter of its own down to the scan
+    with all distances in it, in a method too long for the JVM to compile.
+    """
+    names = [column(name) for name in columns]
+    chance = F.col(DISTANCE) * F.lit(wanted) / F.lit(cost)
+    near = with_nearest(rows, columns, candidates)
+    return near.select(*names, (draw < chance).alias(NEAREST)).where(NEAREST).select(*names)
+
+
 def _any_row(rows: DataFrame, names: list[Column], seed: int) -> tuple[tuple[float, ...], int]:
     """A row drawn as `takeSample` does, and the number of partitions.
 

@@ -1,4 +1,5 @@
 import math
+import re
 
 import pytest
 from pyspark.errors import IllegalArgumentException
@@ -203,7 +204,7 @@ def test_many_rows_of_few_features_need_no_vectors(spark, monkeypatch):
     assert result.predictions.count() == expected.predictions.count() == 1981
 
 
-@pytest.mark.parametrize("k,few", [(2, True), (16, True), (17, False)])
+@pytest.mark.parametrize("k,few", [(2, True), (12, True), (13, False)])
 def test_many_coordinates_go_to_pyspark_ml(spark, monkeypatch, k, few):
     monkeypatch.setattr(cluster, "_MANY_ROWS", 0)
     result = cluster_table(uneven(spark), ClusterParams(k=k))
@@ -256,3 +257,16 @@ def test_silhouette_of_columns_against_all_pairs(spark, distance_measure, distan
 def test_silhouette_of_columns_where_all_rows_are_equal(spark):
     df = spark.createDataFrame([(1.0, 0), (1.0, 0), (1.0, 1), (1.0, 1)], "x double, prediction int")
     assert silhouette(df, columns=["x"]) == 0.0
+
+
+@pytest.mark.parametrize("features,k", [(3, 2), (12, 2), (2, 12)])
+def test_draws_are_short_code(spark, capsys, features, k):
+    """The JVM compiles no method of more than 8,000 bytes, and then takes sixty times as long."""
+    assert features * k <= cluster._FEW_COORDINATES
+    rows = spark.range(100).select(*[F.expr(f"(coalesce(id, {i}) - 2D) * 0.3D AS f{i}") for i in range(features)])
+    candidates = [[0.1 * i + j for i in range(features)] for j in range(1 + 4 * k)]
+    draw = kmeans._rand_by_partition(444271815, 600)
+    drawn = kmeans.drawn_rows(rows, rows.columns, candidates, draw, 2.0 * k, 3.0)
+    drawn.explain("codegen")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
